@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.urls import url_host
 from millrace.operators.dedup import dedup_first, dedup_last
+from millrace.operators.documents import accepted_id, concat_children
 from millrace.operators.skew import with_position
 
 NOW_QUESTIONS = "2002-01-01 00:00:00"
@@ -92,6 +93,24 @@ class Roles:
             .join(parts, "l_partkey").select("post_id", "tag_id").distinct()
         )
 
+    @cached_property
+    def qa(self) -> DataFrame:
+        """Questions with accepted id and the comma lists of answers and tags."""
+        answers = self.answers.withColumnRenamed("parent_id", "question_id")
+        ids = concat_children(answers, ["question_id"], "answer_id", ["post_number"], "answer_ids", numbered=True)
+        tags = self.post_tags.withColumnRenamed("post_id", "question_id")
+        names = concat_children(tags, ["question_id"], "tag_id", ["tag_id"], "tags")
+        lists = ids.join(names, ["question_id", "part"], "full").withColumnRenamed("part", "list_part")
+        return (
+            self.questions.join(accepted_id(answers, "question_id"), "question_id", "left")
+            .join(lists, "question_id", "left")
+            .withColumn("list_part", F.coalesce("list_part", F.lit(0).cast("long")))
+        )
+
+    @cached_property
+    def qa_posts(self) -> DataFrame:
+        return self.answers.withColumnRenamed("answer_id", "post_id")
+
     @cached_property
     def tags(self) -> DataFrame:
         return self.table("part").select(
@@ -248,6 +267,12 @@ ROLE_SQL: dict[str, str] = {
               ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1""",
     "post_tags": """SELECT DISTINCT l_orderkey AS post_id, p_brand AS tag_id
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "qa": """SELECT q.*, accept_id, answer_ids, tags FROM questions q
+        LEFT JOIN (SELECT parent_id AS question_id, arg_max(answer_id, post_number) FILTER (is_accepted) AS accept_id,
+              string_agg(answer_id::VARCHAR, ',' ORDER BY post_number) AS answer_ids FROM answers GROUP BY 1)
+        USING (question_id)
+        LEFT JOIN (SELECT post_id AS question_id, string_agg(tag_id, ',' ORDER BY tag_id) AS tags
+              FROM post_tags GROUP BY 1) USING (question_id)""",
     "tags": "SELECT DISTINCT p_brand AS tag_id, '/tags/' || p_brand AS link, p_brand AS name FROM part",
     "comments": """SELECT event_id AS comment_id, event_id // 3 AS post_id, event_type AS body,
         ts AS creation_time FROM events""",
@@ -291,6 +316,7 @@ ROLE_SQL: dict[str, str] = {
         (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_id FROM orders""",
 }
 NEEDS = {
+    "qa": ["questions", "answers", "post_tags"],
     "stored_items": ["items"], "incoming_items": ["items"], "matched": ["hosts", "rules"],
 }
 
