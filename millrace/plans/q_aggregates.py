@@ -67,7 +67,7 @@ def qa_document(r: Roles):
 WITH d AS (SELECT discussion_id, string_agg(post_number || ':' || is_staff || ':' || md5(body), '|' ORDER BY post_number)
       AS posts, min(post_number) AS first, arg_max(body, post_number) AS last_body,
       arg_min(body, post_number) AS first_body, min(post_id) AS first_id FROM posts
-      WHERE NOT (post_number = 1 AND is_staff) GROUP BY 1)
+      GROUP BY 1)
 SELECT discussion_id, 0::BIGINT AS part, 'forum,' || first_id AS tags, posts,
        CASE WHEN first = 1 THEN first_body ELSE last_body END AS body FROM d
 UNION ALL SELECT o.discussion_id, 0, 'forum,' || min(o.post_id), string_agg((post_number + 1) || ':' || is_staff || ':' ||

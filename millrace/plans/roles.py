@@ -173,7 +173,9 @@ class Roles:
             F.col("o_orderdate").alias("creation_time"),
             F.when(old, F.col("o_orderdate") - day).otherwise(F.col("o_orderdate")).alias("update_time"),
             F.lit(0).cast("long").alias("reply_count"),
-            (F.floor("o_totalprice").cast("long") - F.when(old, 5).otherwise(0)).alias("view_count"),
+            (F.floor("o_totalprice").cast("long") - F.when(old | (F.col("o_custkey") < 500), 5).otherwise(0)).alias(
+                "view_count"
+            ),
             F.lit(True).alias("imported"),
         )
 
@@ -289,7 +291,7 @@ ROLE_SQL: dict[str, str] = {
         o_orderdate AS creation_time,
         CASE WHEN o_orderstatus = 'O' THEN o_orderdate - INTERVAL 1 DAY ELSE o_orderdate END AS update_time,
         0::BIGINT AS reply_count,
-        floor(o_totalprice)::BIGINT - CASE WHEN o_orderstatus = 'O' THEN 5 ELSE 0 END AS view_count,
+        floor(o_totalprice)::BIGINT - CASE WHEN o_orderstatus = 'O' OR o_custkey < 500 THEN 5 ELSE 0 END AS view_count,
         true AS imported FROM orders WHERE o_orderstatus IN ('F', 'O')""",
     "incoming_posts": """SELECT o_orderkey AS id, '/q/' || o_orderkey AS link,
         CASE WHEN o_custkey > 10 THEN 'Question ' || o_orderkey END AS title,
