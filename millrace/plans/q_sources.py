@@ -1,0 +1,217 @@
+"""Sources and sinks; file formats are written to the shared folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.functions.dates import format_ts, to_epoch
+from millrace.operators import documents as A
+from millrace.operators.joins import active_rules
+from millrace.plans.catalog import query
+from millrace.plans.q_upserts import REPLACE_SQL, repeated_writes, shown
+from millrace.plans.roles import Roles
+from millrace.session import scratch_path
+from millrace.sources import api, feeds, pages, records
+
+
+@query("scan_pages", "SELECT page_id, url, html FROM pages")
+def scan_pages(r: Roles):
+    return pages.read_pages(r.spark, f"{r.sf_dir}/pages.parquet")
+
+
+def xml_text(c: str):
+    return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+def feed_docs(r: Roles, entry, head: str, foot: str):
+    """One XML document per source and block of twenty documents."""
+    rows = r.articles.select(
+        "source_site", F.floor(F.col("doc_id") / 20).alias("block"), "doc_id", entry.alias("entry")
+    )
+    return rows.groupBy("source_site", "block").agg(
+        F.concat(F.lit(head), F.array_join(A.in_order("doc_id", F.col("entry")), ""), F.lit(foot)).alias("xml")
+    )
+
+
+@query("rss_items", r"""
+SELECT source_site AS crawlkey, regexp_replace(title, '^\s+|\s+$', '', 'g') AS title,
+       CASE WHEN category = 'es' THEN '' ELSE url END AS link, strftime(pubdate, '%Y-%m-%d %H:%M:%S') AS pubdate
+FROM articles""", "articles")
+def rss_items(r: Roles):
+    link = F.when(F.col("category") != "es", F.concat(F.lit("<link> "), "url", F.lit(" </link>"))).otherwise("")
+    entry = F.concat(
+        F.lit("<item><title>  "), xml_text("title"), F.lit("\n</title>"), link, F.lit("<pubDate>"),
+        format_ts("pubdate"), F.lit("</pubDate></item>"),
+    )
+    docs = feed_docs(r, entry, '<rss version="2.0"><channel><title>feed</title>', "</channel></rss>")
+    items = feeds.parse_rss(docs, "xml", F.col("source_site"))
+    return items.withColumn("pubdate", format_ts("pubdate"))
+
+
+@query("atom_entries", r"""
+SELECT 'Article ' || doc_id AS title, url AS link, doc_id::VARCHAR AS id,
+       strftime(pubdate, '%Y-%m-%dT%H:%M:%SZ') AS published, strftime(pubdate, '%Y-%m-%d') AS updated
+FROM articles""", "articles")
+def atom_entries(r: Roles):
+    entry = F.concat(
+        F.lit("<atom:entry><atom:title>Article "), "doc_id", F.lit('</atom:title><atom:link href="'), "url",
+        F.lit('"/><atom:id>'), "doc_id", F.lit("</atom:id><atom:published>"),
+        F.date_format("pubdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</atom:published><atom:updated>"),
+        F.date_format("pubdate", "yyyy-MM-dd"), F.lit("</atom:updated></atom:entry>"),
+    )
+    docs = feed_docs(r, entry, '<atom:feed xmlns:atom="http://www.w3.org/2005/Atom">', "</atom:feed>")
+    return feeds.parse_atom(docs, "xml")
+
+
+@query("read_jsonl_state", """
+SELECT item_id AS question_id, strftime(update_time, '%Y-%m-%d %H:%M:%S') AS update_time
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY update_time DESC, event_id DESC) AS rn FROM items)
+WHERE rn = 1""", "items")
+def read_jsonl_state(r: Roles):
+    path = scratch_path(r.spark, "state")
+    lines = r.items.orderBy("update_time", "event_id").select(
+        F.col("item_id").alias("question_id"), format_ts("update_time").alias("update_time")
+    )
+    records.write_jsonl(lines, path)
+    return records.read_jsonl(r.spark, path, "question_id bigint, update_time string", ["question_id"])
+
+
+@query("write_jsonl", """
+SELECT '{"question_id":' || question_id || ',"link":"' || link || '","score":' || score || ',"state":"' || state || '"}'
+       AS line FROM questions""", "questions")
+def write_jsonl(r: Roles):
+    path = scratch_path(r.spark, "jsonl")
+    records.write_jsonl(r.questions.select("question_id", "link", "score", "state"), path)
+    return r.spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query("export_by_crawler", "SELECT doc_id, url, source_site AS crawler FROM articles", "articles")
+def export_by_crawler(r: Roles):
+    path = scratch_path(r.spark, "export")
+    rows = r.articles.select("doc_id", "url", F.col("source_site").alias("crawler"))
+    records.export_partitioned(rows, path, "crawler")
+    return r.spark.read.schema("doc_id bigint, url string, crawler string").json(path)
+
+
+@query("bulk_index_lines", """
+SELECT question_id, '{"index":{"_index":"spider_u3d_answers","_type":"question_u3danswers","_id":' || question_id || '}}'
+       || chr(10) || '{"question_id":' || question_id || ',"title":"' || title || '","score":' || score || '}' AS lines
+FROM questions""", "questions")
+def bulk_index_lines(r: Roles):
+    names = A.SOURCES["u3danswers"]
+    bulk = records.to_bulk_lines(
+        r.questions, names["index"], names["type"], "question_id", ["question_id", "title", "score"]
+    )
+    return bulk.select("question_id", "lines")
+
+
+@query("doc_index_upsert", REPLACE_SQL, "stored_posts incoming_posts")
+def doc_index_upsert(r: Roles):
+    return shown(records.upsert_documents(r.stored_posts, repeated_writes(r), ["id"], ["seq"]))
+
+
+@query("rule_source", r"""
+SELECT page_id, name, source_site FROM hosts JOIN rules ON host = 'www.' || domain OR host LIKE '%.' || domain
+WHERE enable = 1""", "hosts rules")
+def rule_source(r: Roles):
+    rules = active_rules(r.rules).select("name", "source_site", F.explode("domains").alias("domain"))
+    hosts = r.hosts.select("page_id", F.regexp_extract("host", r"\.([^.]+\.[^.]+)$", 1).alias("domain"))
+    return hosts.join(rules, "domain").select("page_id", "name", "source_site")
+
+
+def api_envelopes(r: Roles):
+    """The question tables as API pages of one hundred question ids."""
+    talk = r.comments.withColumns({"score": F.lit(0).cast("long"), "creation_date": to_epoch("creation_time")})
+
+    def comments_of(kind: str):
+        value = F.struct("comment_id", "body", "creation_date", "post_id", F.lit(kind).alias("post_type"), "score")
+        return A.nest(talk, ["post_id"], value, ["comment_id"], "comments").select("post_id", "part", "comments")
+
+    common = {
+        "comment_count": F.coalesce(F.size("comments"), F.lit(0)).cast("long"),
+    }
+    answers = r.answers.join(
+        comments_of("answer").withColumnRenamed("post_id", "answer_id"), "answer_id", "left"
+    ).withColumns(common)
+    answer = F.struct(
+        F.col("parent_id").alias("question_id"), F.lit("Re").alias("title"), "body",
+        to_epoch("creation_time").alias("creation_date"), to_epoch("creation_time").alias("last_activity_date"),
+        "score", "comment_count", "comments", "answer_id", "is_accepted",
+    )
+    replies = A.nest(answers, ["parent_id"], answer, ["post_number"], "answers", numbered=True)
+    tags = A.nest(r.post_tags, ["post_id"], F.col("tag_id"), ["tag_id"], "tags")
+    rename = lambda df, c: df.withColumnRenamed(c, "question_id").filter("part = 0").drop("part")
+    questions = (
+        r.questions.join(rename(replies, "parent_id"), "question_id", "left")
+        .join(rename(tags, "post_id"), "question_id", "left")
+        .join(rename(comments_of("question"), "post_id"), "question_id", "left")
+        .join(A.accepted_id(r.answers, "parent_id").withColumnRenamed("parent_id", "question_id"), "question_id", "left")
+        .withColumns(common)
+    )
+    item = F.struct(
+        "question_id", "title", F.lit("?").alias("body"), to_epoch("update_time").alias("creation_date"),
+        to_epoch("update_time").alias("last_activity_date"), "score", "comment_count", "comments", "view_count",
+        F.lit(0).alias("favorite_count"), (F.col("state") == "Accepted").alias("is_answered"),
+        F.coalesce(F.size("answers"), F.lit(0)).alias("answer_count"),
+        F.col("accept_id").alias("accepted_answer_id"), "tags", "answers",
+    )
+    numbered = questions.select("question_id", F.floor(F.col("question_id") / 100).cast("long").alias("page"), item.alias("item"))
+    return numbered.groupBy("page").agg(A.in_order("question_id", F.col("item")).alias("items")).select(
+        F.to_json(F.struct("items", F.lit(True).alias("has_more"), "page", F.lit(100).alias("quota_remaining"))).alias("json")
+    )
+
+
+@query("api_flatten", """
+WITH c AS (SELECT post_id, count(*) AS n FROM comments GROUP BY 1)
+SELECT 'question' AS kind, question_id AS id, NULL AS parent_id, strftime(update_time, '%Y-%m-%d %H:%M:%S') AS t, score,
+       coalesce(n, 0)::VARCHAR || ':' || coalesce(accept_id::VARCHAR, '') AS value
+FROM qa LEFT JOIN c ON post_id = question_id
+UNION ALL SELECT 'answer', answer_id, parent_id, strftime(creation_time, '%Y-%m-%d %H:%M:%S'), score,
+       coalesce(n, 0)::VARCHAR || ':' FROM answers JOIN questions ON parent_id = question_id LEFT JOIN c ON post_id = answer_id
+UNION ALL SELECT 'tag', post_id, NULL, NULL, NULL, tag_id FROM post_tags JOIN questions ON post_id = question_id
+UNION ALL SELECT 'comment:question', comment_id, post_id, strftime(creation_time, '%Y-%m-%d %H:%M:%S'), 0, body
+       FROM comments WHERE post_id IN (SELECT question_id FROM questions)
+UNION ALL SELECT 'comment:answer', comment_id, post_id, strftime(creation_time, '%Y-%m-%d %H:%M:%S'), 0, body
+       FROM comments WHERE post_id IN (SELECT answer_id FROM answers JOIN questions ON parent_id = question_id)""",
+       "qa comments")
+def api_flatten(r: Roles):
+    flat = api.flatten_api(api_envelopes(r), "json")
+    value = F.concat(F.col("comment_count"), F.lit(":"), F.coalesce(F.col("accept_id").cast("string"), F.lit("")))
+    posts = flat["posts"].select(
+        F.col("post_type").alias("kind"), F.col("post_id").alias("id"), "parent_id",
+        format_ts("update_time").alias("t"), "score", value.alias("value"),
+    )
+    tags = flat["post_tags"].select(F.lit("tag").alias("kind"), F.col("post_id").alias("id"), F.col("tag_id").alias("value"))
+    comments = flat["comments"].select(
+        F.concat(F.lit("comment:"), "post_type").alias("kind"), F.col("comment_id").alias("id"),
+        F.col("post_id").alias("parent_id"), format_ts("creation_time").alias("t"), "score",
+        F.col("body").alias("value"),
+    )
+    return A.union_docs(posts, tags, comments)
+
+
+@query("state_resume", """
+SELECT source, page, has_more, first_pass FROM (
+  SELECT section AS source, section < '3' OR section > '5' AS first_pass, true AS has_more,
+         CASE WHEN section < '3' THEN count(*) // 30 ELSE 1 END AS page FROM questions GROUP BY 1)""", "questions")
+def state_resume(r: Roles):
+    known = F.col("source") < "5"
+    saved = r.questions.groupBy(F.col("section").alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    state = saved.select(
+        "source", F.when(known, F.floor(F.col("n") / 30)).alias("fetching_page"), F.when(known, True).alias("has_more"),
+        F.when(known, F.col("source") < "3").alias("first_pass"),
+    )
+    return api.resume_point(state)
+
+
+@query("image_manifest", r"""
+SELECT page_id, i::BIGINT AS ordinal, origin || src AS source_url, stored_name, '/images/' || stored_name AS public_url
+FROM (SELECT page_id, origin, src, i, printf('%02d', i) || md5(url || i) || '.' ||
+             list_extract(string_split(list_extract(string_split(src, '/'), -1), '.'), -1) AS stored_name
+      FROM (SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/?#]*') AS origin,
+                   unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) || '.png' AS src,
+                   generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS i FROM pages))""")
+def image_manifest(r: Roles):
+    html = F.regexp_replace("html", r'<a href="([^"]*)"', r'<img class="x" src="$1.png"')
+    rows = pages.image_manifest(r.pages, html)
+    return rows.select("page_id", "ordinal", "source_url", "stored_name", "public_url")
