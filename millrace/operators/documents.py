@@ -70,6 +70,14 @@ def accepted_id(answers: DataFrame, parent: str = "parent_id", answer: str = "an
     return answers.groupBy(parent).agg(marked[answer].alias("accept_id"))
 
 
+def answer_heads(answers: DataFrame, parent: str = "parent_id") -> DataFrame:
+    """Number of answers and accepted answer per question, in one aggregation."""
+    marked = F.max(F.when(F.col("is_accepted"), F.struct("post_number", "answer_id")))
+    return answers.groupBy(parent).agg(
+        F.count(F.lit(1)).alias("answer_count"), marked["answer_id"].alias("accept_id")
+    )
+
+
 # What differs between the published sources.
 SOURCES = {
     "u3danswers": {"index": "spider_u3d_answers", "type": "question_u3danswers", "favorite": "following_count"},

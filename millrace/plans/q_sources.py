@@ -120,44 +120,52 @@ def rule_source(r: Roles):
 
 
 def api_envelopes(r: Roles):
-    """The question tables as API pages of one hundred question ids."""
+    """The question tables as API pages of up to one hundred questions.
+
+    Long lists come in parts, and a question with several parts is an item of as many
+    pages, so no page grows with a hot question.
+    """
     talk = r.comments.withColumns({"score": F.lit(0).cast("long"), "creation_date": to_epoch("creation_time")})
+    counts = talk.groupBy("post_id").agg(F.count(F.lit(1)).alias("comment_count"))
+    said = A.nest(
+        talk, ["post_id"], F.struct("comment_id", "body", "creation_date", "post_id", "score"), ["comment_id"], "comments"
+    ).join(counts, "post_id")
 
-    def comments_of(kind: str):
-        value = F.struct("comment_id", "body", "creation_date", "post_id", F.lit(kind).alias("post_type"), "score")
-        return A.nest(talk, ["post_id"], value, ["comment_id"], "comments").select("post_id", "part", "comments")
+    def comments(kind: str):
+        typed = F.transform("comments", lambda c: c.withField("post_type", F.lit(kind)))
+        return F.coalesce("comment_count", F.lit(0)).alias("comment_count"), typed.alias("comments")
 
-    common = {
-        "comment_count": F.coalesce(F.size("comments"), F.lit(0)).cast("long"),
-    }
-    answers = r.answers.join(
-        comments_of("answer").withColumnRenamed("post_id", "answer_id"), "answer_id", "left"
-    ).withColumns(common)
+    answers = r.answers.join(said.withColumnRenamed("post_id", "answer_id").drop("part"), "answer_id", "left")
+    at = to_epoch("creation_time")
     answer = F.struct(
-        F.col("parent_id").alias("question_id"), F.lit("Re").alias("title"), "body",
-        to_epoch("creation_time").alias("creation_date"), to_epoch("creation_time").alias("last_activity_date"),
-        "score", "comment_count", "comments", "answer_id", "is_accepted",
+        F.col("parent_id").alias("question_id"), F.lit("Re").alias("title"), "body", at.alias("creation_date"),
+        at.alias("last_activity_date"), "score", *comments("answer"), "answer_id", "is_accepted",
     )
+    key = ["question_id", "part"]
     replies = A.nest(answers, ["parent_id"], answer, ["post_number"], "answers", numbered=True)
     tags = A.nest(r.post_tags, ["post_id"], F.col("tag_id"), ["tag_id"], "tags")
-    rename = lambda df, c: df.withColumnRenamed(c, "question_id").filter("part = 0").drop("part")
-    questions = (
-        r.questions.join(rename(replies, "parent_id"), "question_id", "left")
-        .join(rename(tags, "post_id"), "question_id", "left")
-        .join(rename(comments_of("question"), "post_id"), "question_id", "left")
-        .join(A.accepted_id(r.answers, "parent_id").withColumnRenamed("parent_id", "question_id"), "question_id", "left")
-        .withColumns(common)
+    lists = (
+        replies.withColumnRenamed("parent_id", "question_id")
+        .join(tags.withColumnRenamed("post_id", "question_id"), key, "full")
+        .join(said.withColumnRenamed("post_id", "question_id"), key, "full")
     )
+    heads = A.answer_heads(r.answers).withColumnRenamed("parent_id", "question_id")
+    questions = r.questions.join(lists, "question_id", "left").join(heads, "question_id", "left")
+    at = to_epoch("update_time")
     item = F.struct(
-        "question_id", "title", F.lit("?").alias("body"), to_epoch("update_time").alias("creation_date"),
-        to_epoch("update_time").alias("last_activity_date"), "score", "comment_count", "comments", "view_count",
-        F.lit(0).alias("favorite_count"), (F.col("state") == "Accepted").alias("is_answered"),
-        F.coalesce(F.size("answers"), F.lit(0)).alias("answer_count"),
+        "question_id", "title", F.lit("?").alias("body"), at.alias("creation_date"), at.alias("last_activity_date"),
+        "score", *comments("question"), "view_count", F.lit(0).alias("favorite_count"),
+        (F.col("state") == "Accepted").alias("is_answered"), F.coalesce("answer_count", F.lit(0)).alias("answer_count"),
         F.col("accept_id").alias("accepted_answer_id"), "tags", "answers",
     )
-    numbered = questions.select("question_id", F.floor(F.col("question_id") / 100).cast("long").alias("page"), item.alias("item"))
-    return numbered.groupBy("page").agg(A.in_order("question_id", F.col("item")).alias("items")).select(
-        F.to_json(F.struct("items", F.lit(True).alias("has_more"), "page", F.lit(100).alias("quota_remaining"))).alias("json")
+    placed = questions.select(
+        "question_id", F.floor(F.col("question_id") / 100).cast("long").alias("page"),
+        F.coalesce("part", F.lit(0)).alias("part"), item.alias("item"),
+    )
+    envelope = F.struct("items", F.lit(True).alias("has_more"), "page", F.lit(100).alias("quota_remaining"))
+    return (
+        placed.groupBy("page", "part").agg(A.in_order("question_id", F.col("item")).alias("items"))
+        .select(F.to_json(envelope).alias("json"))
     )
 
 
@@ -166,7 +174,7 @@ WITH c AS (SELECT post_id, count(*) AS n FROM comments GROUP BY 1)
 SELECT 'question' AS kind, question_id AS id, NULL AS parent_id, strftime(update_time, '%Y-%m-%d %H:%M:%S') AS t, score,
        coalesce(n, 0)::VARCHAR || ':' || coalesce(accept_id::VARCHAR, '') AS value
 FROM qa LEFT JOIN c ON post_id = question_id
-UNION ALL SELECT 'answer', answer_id, parent_id, strftime(creation_time, '%Y-%m-%d %H:%M:%S'), score,
+UNION ALL SELECT 'answer', answer_id, parent_id, strftime(creation_time, '%Y-%m-%d %H:%M:%S'), answers.score,
        coalesce(n, 0)::VARCHAR || ':' FROM answers JOIN questions ON parent_id = question_id LEFT JOIN c ON post_id = answer_id
 UNION ALL SELECT 'tag', post_id, NULL, NULL, NULL, tag_id FROM post_tags JOIN questions ON post_id = question_id
 UNION ALL SELECT 'comment:question', comment_id, post_id, strftime(creation_time, '%Y-%m-%d %H:%M:%S'), 0, body
@@ -187,7 +195,7 @@ def api_flatten(r: Roles):
         F.col("post_id").alias("parent_id"), format_ts("creation_time").alias("t"), "score",
         F.col("body").alias("value"),
     )
-    return A.union_docs(posts, tags, comments)
+    return A.union_docs(posts.dropDuplicates(["kind", "id"]), tags, comments)
 
 
 @query("state_resume", """
