@@ -1,0 +1,51 @@
+"""Link graph and article assignment."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.functions.markup import inner
+from millrace.operators import graph as G
+from millrace.operators.assign import assign_articles
+from millrace.operators.extract import LinkRule, extract_links
+from millrace.plans.catalog import query
+from millrace.plans.q_extract import LINKS_SQL
+from millrace.plans.roles import Roles
+
+
+@query("link_frontier", rf"""
+SELECT DISTINCT origin || href AS url FROM ({LINKS_SQL})
+WHERE regexp_matches(href, '^/\w') AND NOT regexp_matches(href, 'ing$')
+  AND regexp_matches(origin, '[/.]example\.(com|org)$')
+  AND origin || href NOT IN (SELECT regexp_extract(url, '^[a-z]+://[^/?#]*') || '/the' FROM pages)""")
+def link_frontier(r: Roles):
+    links = extract_links(r.pages, [LinkRule("nav", lambda html: inner(html, "nav"))])
+    seen = r.pages.select(F.concat(F.regexp_extract("url", "^[a-z]+://[^/?#]*", 0), F.lit("/the")).alias("url"))
+    return G.next_frontier(links, seen, [r"://[^/]*/\w"], ["ing$"], ["example.com", "example.org"])
+
+
+@query("bfs_depth", """
+SELECT page, min(depth) AS depth FROM (
+  WITH RECURSIVE walk AS (SELECT 0::BIGINT AS page, 0::BIGINT AS depth
+    UNION SELECT dst, depth + 1 FROM walk JOIN edges ON src = page WHERE depth < 4)
+  SELECT * FROM walk) GROUP BY 1""", "edges")
+def bfs_depth(r: Roles):
+    starts = r.table("part").filter("p_partkey = 0").select(F.col("p_partkey").alias("page"))
+    return G.bfs(r.edges, starts, 4)
+
+
+@query("page_chain", """
+SELECT o_orderkey AS page_id, first_value(o_orderkey) OVER w AS head_id,
+       row_number() OVER w AS page_number, count(*) OVER (PARTITION BY o_custkey) AS total
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""")
+def page_chain(r: Roles):
+    return G.page_chain(r.chain)
+
+
+@query("assign_articles", """
+WITH ranked AS (SELECT c_custkey AS account_id, row_number() OVER (ORDER BY c_custkey) AS place FROM customer),
+d AS (SELECT doc_id, url, ('0x' || substr(md5('day-1' || url), 1, 15))::BIGINT AS digest FROM articles)
+SELECT doc_id, account_id FROM d JOIN ranked ON place = digest % (SELECT count(*) FROM customer) + 1""", "articles")
+def assign(r: Roles):
+    accounts = r.table("customer").select(F.col("c_custkey").alias("account_id"))
+    return assign_articles(r.articles.select("doc_id", "url"), accounts, "day-1").select("doc_id", "account_id")

@@ -1,0 +1,104 @@
+"""Streaming jobs over the given tables, run until all input is taken.
+
+Each writes to fresh folders in the shared folder and returns the resulting table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.functions.dates import format_ts
+from millrace.plans.catalog import query
+from millrace.plans.roles import NOW_EVENTS, Roles, ts
+from millrace.session import scratch_path
+from millrace.streaming import jobs
+
+
+def stream(r: Roles, table: str):
+    """A given table as a file stream."""
+    return jobs.read_files(r.spark, r.sf_dir, r.table(table).schema, f"{table}.parquet")
+
+
+def folders(r: Roles, name: str) -> tuple[str, str]:
+    return scratch_path(r.spark, name), scratch_path(r.spark, f"{name}-checkpoint")
+
+
+@query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(r: Roles):
+    out, checkpoint = folders(r, "dedup")
+    unique = jobs.stream_dedup(stream(r, "events").select("user_id", "event_type", "event_id"), ["user_id", "event_type"])
+    jobs.run_available(unique.drop("event_id"), out, checkpoint)
+    return r.spark.read.parquet(out)
+
+
+@query("stream_dedup_30d", "SELECT DISTINCT user_id FROM events")
+def stream_dedup_30d(r: Roles):
+    out, checkpoint = folders(r, "dedup30")
+    unique = jobs.stream_dedup_within(stream(r, "events").select("user_id", "ts"), ["user_id"], "ts", 30)
+    jobs.run_available(unique.select("user_id"), out, checkpoint)
+    return r.spark.read.parquet(out)
+
+
+@query("stream_upsert", """
+SELECT item_id, arg_min(process_type, (update_time, event_id)) AS process_type,
+       arg_max(view_count, (update_time, event_id)) AS view_count,
+       strftime(max(update_time), '%Y-%m-%d %H:%M:%S') AS update_time FROM items GROUP BY 1""", "items")
+def stream_upsert(r: Roles):
+    log, checkpoint = folders(r, "upsert")
+    items = stream(r, "events").select(
+        F.col("user_id").alias("item_id"), F.col("ts").alias("update_time"), F.floor("value").cast("long").alias("view_count"),
+        F.col("event_type").alias("process_type"), "event_id",
+    )
+    policy = ["update_time", "view_count", "event_id"]
+    jobs.stream_upsert(items, log, checkpoint, ["item_id"], policy, ["update_time", "event_id"])
+    rows = jobs.current_rows(r.spark, log, ["item_id"], policy)
+    return rows.select("item_id", "process_type", "view_count", format_ts("update_time").alias("update_time"))
+
+
+@query("stream_changes", """
+SELECT item_id, event_id, CASE WHEN s.update_time IS NULL THEN 'new' WHEN s.update_time < i.update_time THEN 'updated'
+       ELSE 'unchanged' END AS change
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY update_time DESC, event_id DESC) AS rn FROM items
+      WHERE process_type = 'signup') AS i LEFT JOIN stored_items s USING (item_id) WHERE rn = 1""",
+       "items stored_items")
+def stream_changes(r: Roles):
+    log, checkpoint = folders(r, "changes")
+    items = stream(r, "events").filter("event_type = 'signup'").select(
+        F.col("user_id").alias("item_id"), F.col("ts").alias("update_time"), "event_id"
+    )
+    jobs.stream_changes(items, r.stored_items, log, checkpoint, "item_id", "update_time", ["update_time", "event_id"])
+    return r.spark.read.parquet(log).select("item_id", "event_id", "change")
+
+
+@query("stream_publish", """
+SELECT question_id, title FROM questions WHERE question_id NOT IN (SELECT id FROM stored_posts WHERE view_count > 100000)""",
+       "questions stored_posts")
+def stream_publish(r: Roles):
+    log, checkpoint = folders(r, "publish")
+    docs = stream(r, "orders").select(
+        F.col("o_orderkey").alias("question_id"), F.concat(F.lit("Question "), "o_orderkey").alias("title"),
+        F.col("o_orderdate").alias("update_time"),
+    )
+    published = r.stored_posts.filter("view_count > 100000").select(F.col("id").alias("question_id"))
+    jobs.stream_publish(docs, log, checkpoint, "question_id", ["update_time"], published)
+    return jobs.current_rows(r.spark, log, ["question_id"], ["title", "update_time"]).select("question_id", "title")
+
+
+@query("stream_late_drop", f"""
+SELECT event_id, ts > TIMESTAMP '{NOW_EVENTS}' - INTERVAL 21 DAY AS kept,
+       CASE WHEN ts <= TIMESTAMP '{NOW_EVENTS}' - INTERVAL 21 DAY THEN 'too_old' END AS reject_reason FROM events""")
+def stream_late_drop(r: Roles):
+    out, checkpoint = folders(r, "late")
+    marked = jobs.stream_late_drop(stream(r, "events").select("event_id", "ts"), "ts", ts(NOW_EVENTS), 20)
+    jobs.run_available(marked, out, checkpoint, ["kept"])
+    return r.spark.read.parquet(out).select("event_id", F.col("kept").cast("boolean").alias("kept"), "reject_reason")
+
+
+@query("scheduled_run", "SELECT event_id, user_id FROM events WHERE ts > TIMESTAMP '2024-01-16'")
+def scheduled_run(r: Roles):
+    out, checkpoint = folders(r, "scheduled")
+    schema = r.table("events").schema
+    mark = ts("2024-01-16 00:00:00")
+    for _ in range(2):  # the second run finds nothing new
+        jobs.run_once(r.spark, r.sf_dir, schema, "events.parquet", "ts", mark, out, checkpoint)
+    return r.spark.read.parquet(out).select("event_id", "user_id")

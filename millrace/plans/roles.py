@@ -219,12 +219,12 @@ class Roles:
             for d, allow, enable in (("com", r"/(en|fr|de)/\d+", 1), ("org", r"/\w+/\d+", 1),
                                      ("net", r"/en/\d+", 1), ("net", r"/fr/\d+", 0))
         ]
-        return self.spark.createDataFrame(
-            rows,
-            "name string, allow_domains string, start_urls string, next_page string, allow_url string, "
-            "extract_from string, title_xpath string, body_xpath string, publish_time_xpath string, "
-            "source_site string, enable int",
-        )
+        names = (
+            "name allow_domains start_urls next_page allow_url extract_from title_xpath body_xpath "
+            "publish_time_xpath source_site enable"
+        ).split()
+        structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+        return self.spark.range(1).select(F.inline(F.array(*structs)))
 
     @cached_property
     def edges(self) -> DataFrame:
