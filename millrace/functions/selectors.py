@@ -28,6 +28,9 @@ ENDS_PARAGRAPH = frozenset(
 )
 
 
+STRAY_AMPERSAND = re.compile(r"&(?!#?\w+;)")
+
+
 class Node:
     __slots__ = ("tag", "attrs", "children")
 
@@ -42,7 +45,8 @@ class PageTree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
-        self.feed(html)
+        # Only terminated references are decoded; any other ampersand is text.
+        self.feed(STRAY_AMPERSAND.sub("&amp;", html))
         self.close()
 
     def _close(self, tag: str, within: frozenset[str] = frozenset()) -> None:
