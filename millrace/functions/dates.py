@@ -5,28 +5,33 @@ Results are `timestamp_ntz`: the sources give wall-clock times without a zone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.text import SPACE, col, strip_ws
-
-# The date layouts met in the sources, as Spark patterns.
-DATE_PATTERNS = (
-    "MMM d, yyyy h:m:s a",
-    "yyyy, MMM d 'at' H:m:s'+0000'",
-    "MMM d, yyyy",
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d",
-)
+from millrace.functions.text import SPACE, col, let, strip_ws
+
+# The date layouts met in the sources, as Spark patterns, each with the
+# outer shape of its texts. The shape spares parsers the texts they would fail on.
+DATE_PATTERNS = {
+    "MMM d, yyyy h:m:s a": r"^[A-Z][a-z]{2} \d+, \d{4} .*M$",
+    "yyyy, MMM d 'at' H:m:s'+0000'": r"^\d{4}, .*\+0000$",
+    "MMM d, yyyy": r"^[A-Z][a-z]{2} \d+, \d{4}$",
+    "yyyy-M-d H:m:s": r"^\d{4}-\d+-\d+ \d+:",
+    "yyyy-M-d": r"^\d{4}-\d+-\d+$",
+}
 START_DATE = "2016-01-01 00:00:00"  # fixed value: first lower bound of an incremental run
 
 
-def parse_any_date(text: Column | str, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
+def parse_any_date(text: Column | str, patterns: Iterable[str] = tuple(DATE_PATTERNS)) -> Column:
     """First layout that fits; null when none does."""
-    text = strip_ws(text)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns])
+
+    def parse(text: Column, pattern: str) -> Column:
+        value = F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+        return F.when(text.rlike(DATE_PATTERNS[pattern]), value) if pattern in DATE_PATTERNS else value
+
+    return let(strip_ws(text), lambda t: F.coalesce(*[parse(t, p) for p in patterns]))
 
 
 def epoch_zero() -> Column:

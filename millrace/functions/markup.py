@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.text import col
+from millrace.functions.text import col, let
 
-LINK = r'(?i)<a\s[^>]*?href="([^"]*)"[^>]*>([\s\S]*?)</a>'
+LINK = r"(?i)<a(\s[^>]*)>([\s\S]*?)</a>"
 IMAGE = r'(<img [\s\S]*?src=")([\s\S]*?)(?=")'
 
 
@@ -41,17 +41,20 @@ def opened(html: Column | str, tag: str) -> Column:
 
 def links(html: Column | str) -> Column:
     """All links of a piece: array of (href, title, css, text)."""
-    html = col(html)
-    pieces = F.regexp_extract_all(html, F.lit(LINK), F.lit(0))
-    return F.transform(
-        pieces,
-        lambda a: F.struct(
-            F.regexp_extract(a, LINK, 1).alias("href"),
-            attribute(F.regexp_extract(a, r"^<[^>]*>", 0), "title").alias("title"),
-            attribute(F.regexp_extract(a, r"^<[^>]*>", 0), "class").alias("css"),
-            F.regexp_extract(a, LINK, 2).alias("text"),
-        ),
-    )
+
+    def read(page: Column) -> Column:
+        attributes = F.regexp_extract_all(page, F.lit(LINK), F.lit(1))
+        texts = F.regexp_extract_all(page, F.lit(LINK), F.lit(2))
+        found = F.zip_with(
+            attributes, texts,
+            lambda a, text: F.struct(
+                attribute(a, "href").alias("href"), attribute(a, "title").alias("title"),
+                attribute(a, "class").alias("css"), text.alias("text"),
+            ),
+        )
+        return F.filter(found, lambda a: a["href"] != "")
+
+    return let(col(html), read)
 
 
 def attribute(open_tag: Column | str, name: str) -> Column:

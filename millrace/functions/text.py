@@ -7,8 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as Unicode `strip` sees it, for Java regular expressions.
+# Whitespace as Unicode `strip` sees it, as a character class of Java
+# regular expressions and as plain characters.
 SPACE = r"\s\x0B\x1C-\x1F\x85\p{Z}"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # The markup patterns, in the order they are applied.
 PARAGRAPH_END = r"(?i)</p>"
@@ -48,7 +53,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def strip_ws(text: Column | str) -> Column:
     """Strip any Unicode whitespace from both ends (`trim` knows spaces only)."""
-    return F.regexp_replace(col(text), rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(col(text), F.lit(SPACES))
 
 
 def _lines(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.text import col, strip_ws
+from millrace.functions.text import col, let, strip_ws
 
 
 def digits_only(text: Column | str) -> Column:
@@ -29,21 +29,24 @@ def stats_map(labels: Column | str) -> Column:
             strip_ws(F.get(F.split(s, ":"), 1)).alias("value"),
         ),
     )
-    last = F.filter(
-        parts,
-        lambda p, i: ~F.exists(F.slice(parts, i + 2, F.size(parts)), lambda q: q["label"] == p["label"]),
+    latest = lambda all_parts: F.filter(
+        all_parts,
+        lambda p, i: ~F.exists(F.slice(all_parts, i + 2, F.size(all_parts)), lambda q: q["label"] == p["label"]),
     )
-    return F.map_from_entries(last)
+    return F.map_from_entries(let(parts, latest))
 
 
 def labelled_stats(labels: Column | str, short_views: Column | None = None) -> Column:
     """Votes and views of a list entry; a short form such as ``1.2k`` wins for views."""
-    stats = stats_map(labels)
-    views = F.try_element_at(stats, F.lit("Views")).try_cast("long")
-    return F.struct(
-        F.try_element_at(stats, F.lit("Votes")).alias("score"),
-        (views if short_views is None else F.coalesce(thousands(short_views), views)).alias("view_count"),
-    )
+
+    def read(stats: Column) -> Column:
+        views = F.try_element_at(stats, F.lit("Views")).try_cast("long")
+        return F.struct(
+            F.try_element_at(stats, F.lit("Votes")).alias("score"),
+            (views if short_views is None else F.coalesce(thousands(short_views), views)).alias("view_count"),
+        )
+
+    return let(stats_map(labels), read)
 
 
 def null_token(text: Column | str) -> Column:

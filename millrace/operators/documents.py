@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from millrace.functions.values import null_token, split_list
@@ -33,16 +33,18 @@ def nest(
     name: str,
     chunk: int = CHUNK,
     numbered: bool = False,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Children of each parent as arrays in order: (parent..., part, name).
 
     With `numbered`, the single order column already counts the children of a parent
-    from 1 (such as a post number), and no ranking is needed.
+    from 1 (such as a post number), and no ranking is needed.  `hot` is as for
+    `with_position`.
     """
     if numbered:
         placed, place = df, order[0]
     else:
-        placed, place = with_position(df, parent, order, "_place"), "_place"
+        placed, place = with_position(df, parent, order, "_place", hot=hot), "_place"
     return (
         placed.withColumn("part", F.floor((F.col(place) - 1) / chunk).cast("long"))
         .groupBy(*parent, "part")
@@ -58,9 +60,10 @@ def concat_children(
     name: str,
     chunk: int = CHUNK,
     numbered: bool = False,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Comma list of children per parent: (parent..., part, name)."""
-    lists = nest(df, parent, F.col(child).cast("string"), order, name, chunk, numbered)
+    lists = nest(df, parent, F.col(child).cast("string"), order, name, chunk, numbered, hot)
     return lists.withColumn(name, F.array_join(name, ","))
 
 
@@ -141,11 +144,24 @@ def build_qa_docs(
         .groupBy(*key, "part", "comment_part")
         .agg(in_order("pos", answer).alias("answers"))
     )
+    docs = qa_heads(questions, source).join(answers, key, "left")
+    return docs.withColumns({
+        "part": F.coalesce("part", F.lit(0)),
+        "comment_part": F.coalesce("comment_part", F.lit(0)),
+        "answers": F.coalesce("answers", F.array().cast(docs.schema["answers"].dataType)),
+    })
+
+
+def qa_heads(questions: DataFrame, source: str = "u3danswers") -> DataFrame:
+    """Question documents without their answers: scalars, counts, source and tags."""
+    key = ["question_id"] + (["list_part"] if "list_part" in questions.columns else [])
+    accept = null_token(F.col("accept_id").cast("string"))
+    listed = split_list(F.col("answer_ids"))
     tags = split_list("tags")
     favorite = SOURCES[source]["favorite"]
     scalars = [*key, "creation_time", "update_time", "score", "view_count", "comment_count", "title", "body",
                "link", *EXTRA_FIELDS.get(source, ())]
-    heads = questions.select(
+    return questions.select(
         *[c for c in scalars if c in questions.columns],
         accept.isNotNull().alias("is_accepted"),
         F.size(listed).cast("long").alias("answer_count"),
@@ -154,12 +170,6 @@ def build_qa_docs(
         tags.alias("tags"),
         tags.alias("tags_analyzer"),
     )
-    docs = heads.join(answers, key, "left")
-    return docs.withColumns({
-        "part": F.coalesce("part", F.lit(0)),
-        "comment_part": F.coalesce("comment_part", F.lit(0)),
-        "answers": F.coalesce("answers", F.array().cast(docs.schema["answers"].dataType)),
-    })
 
 
 def build_forum_docs(discussions: DataFrame, posts: DataFrame, source: str = "u3dforum", chunk: int = CHUNK) -> DataFrame:

@@ -88,10 +88,10 @@ def extract_fragment(html: Column | str, tag: str, attrs: str = "") -> Column:
 
 def next_page(html: Column | str, url: Column | str, kind: str, value: str) -> Column:
     """Absolute url of the next-page link, found by its `text`, `title` or `css` class; null at the end."""
-    wanted = F.filter(M.links(html), lambda a: strip_ws(a[kind]) == value)
     # A pager may show the link twice; by text the last one counts, else the first.
-    hit = F.try_element_at(wanted, F.lit(-1 if kind == "text" else 1))
-    return F.when(hit.isNotNull(), url_join(url, hit["href"]))
+    wanted = F.filter(M.links(html), lambda a: strip_ws(a[kind]) == value)
+    href = F.try_element_at(wanted, F.lit(-1 if kind == "text" else 1))["href"]
+    return let(href, lambda h: F.when(h.isNotNull(), url_join(url, h)))
 
 
 def extract_tags(html: Column, url: Column, base_tag: Column | None = None, id_from: str = "text") -> Column:

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.operators.dedup import dedup_first
-from millrace.operators.skew import _before, lookup_join, orders, sort_columns, with_position
+from millrace.operators.skew import _before, hot_keys, lookup_join, orders, sort_columns, with_position
 
 NEXT_PAGE_PRIORITY = -1  # fixed value: list pages wait for all entries
 
@@ -24,17 +24,19 @@ def _place(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(o.name) for o in orders(order)])
 
 
-def _attach(df: DataFrame, places: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def _attach(df: DataFrame, places: DataFrame, keys: Sequence[str], name: str, hot: list[Row] | None = None) -> DataFrame:
     """Add the one place per key (or the only one) to every row."""
     if keys:
-        return lookup_join(df, places.select(*keys, name), keys, "left")
+        return lookup_join(df, places.select(*keys, name), keys, "left", hot=hot)
     return df.withColumn(name, places.select(name).scalar())
 
 
-def cut_from(df: DataFrame, flagged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def cut_from(
+    df: DataFrame, flagged: DataFrame, keys: Sequence[str], order: Sequence[str], hot: list[Row] | None = None
+) -> DataFrame:
     """Rows before the first flagged row of their key."""
     first = dedup_first(flagged, keys, order).withColumn("_cut", _place(order))
-    marked = _attach(df, first, keys, "_cut")
+    marked = _attach(df, first, keys, "_cut", hot)
     return marked.filter(F.col("_cut").isNull() | _before(orders(order), _place(order), F.col("_cut"))).drop("_cut")
 
 
@@ -56,9 +58,10 @@ def stop_after_unchanged(
     limit = limit.filter(F.col("_rank") == n + 1).drop("_rank")
     if recent is None:
         return cut_from(df, limit, keys, order)
-    after = _attach(df, limit.withColumn("_seen", _place(order)), keys, "_seen")
+    hot = hot_keys(df, keys) if keys else None
+    after = _attach(df, limit.withColumn("_seen", _place(order)), keys, "_seen", hot)
     late = F.col("_seen").isNotNull() & _before(orders(order), F.col("_seen"), _place(order))
-    return cut_from(df, after.filter(late & ~recent).drop("_seen"), keys, order)
+    return cut_from(df, after.filter(late & ~recent).drop("_seen"), keys, order, hot)
 
 
 def stop_at_unchanged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -75,9 +78,10 @@ def fetch_priority(
     entries: n * 20 falling by 10 (`qa`), or n falling by 1 (`forum`)."""
     factor, step = {"qa": (20, 10), "forum": (1, 1)}[mode]
     sizes = entries.groupBy(page).agg(F.count(F.lit(1)).alias("_n"))
-    placed = with_position(kept, [page], order, "_k")
+    hot = hot_keys(entries, [page])
+    placed = with_position(kept, [page], order, "_k", hot=hot)
     value = (F.col("_n") * factor - (F.col("_k") - 1) * step).cast("long")
-    return lookup_join(placed, sizes, [page], "inner").withColumn("priority", value).drop("_n", "_k")
+    return lookup_join(placed, sizes, [page], "inner", hot=hot).withColumn("priority", value).drop("_n", "_k")
 
 
 def next_batch(df: DataFrame, order: Sequence[str], n: int = 1000) -> DataFrame:

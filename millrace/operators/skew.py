@@ -116,9 +116,13 @@ def with_position(
     name: str = "position",
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Exact `row_number()` per key (or over everything for `keys=[]`).
 
+    `hot` are the hot keys where the caller has them already, [] where the data model
+    bounds the rows of a key.
+
     Keys of ordinary size use one window.  Rows of hot keys are spread over ranges
     of the order, numbered inside their range, and shifted by the size of the ranges
     before it, so no task ever sorts a whole hot key.
@@ -128,7 +132,8 @@ def with_position(
         df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
     keys, spec = list(keys), orders(order)
     sort = sort_columns(order)
-    hot = hot_keys(df, keys, hot_rows, hot_share)
+    if hot is None:
+        hot = hot_keys(df, keys, hot_rows, hot_share)
     if not hot:
         out = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*sort)).cast("long"))
         return out.drop("_all") if hidden else out
@@ -169,6 +174,7 @@ def lookup_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     hot_share: float = HOT_SHARE,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Join rows to a table with at most one row per key.
 
@@ -176,7 +182,8 @@ def lookup_join(
     `right` is unique on `on`); all others take the ordinary shuffled join.
     """
     on = list(on)
-    hot = hot_keys(left, on, hot_rows, hot_share)
+    if hot is None:
+        hot = hot_keys(left, on, hot_rows, hot_share)
     hot = [r for r in hot if all(r[k] is not None for k in on)]
     if not hot:
         return left.join(right, on, how)

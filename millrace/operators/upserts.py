@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import dedup_last
+from millrace.session import cut_lineage
 
 # The columns a repeated write may change, per target table. All other
 # columns keep what the first write stored.
@@ -139,11 +140,12 @@ def append_log(log: DataFrame, *rows: DataFrame) -> DataFrame:
 
 
 def normalize_thread(threads: DataFrame) -> dict[str, DataFrame]:
-    """Nested threads to flat tables.
+    """Nested threads to flat tables, from one stored copy of the threads.
 
     Input rows are (question_id, title, body, accept_id, tags: array<struct<tag_id,name>>,
     answers: array<struct<answer_id,body>>), one per thread or per part of a thread.
     """
+    threads = cut_lineage(threads)  # read by each of the tables
     content = threads.select("question_id", "accept_id", F.explode("answers").alias("a"))
     answers = content.select(
         F.col("a.answer_id").alias("content_id"), F.col("a.body").alias("content"), F.lit(False).alias("is_question"),

@@ -26,7 +26,7 @@ def sql_text(expr: str) -> str:
 SELECT page_id, i AS pos, regexp_extract(li, 'href="([^"]*)"', 1) AS href, regexp_extract(li, '>([^<]*)</a>', 1) AS title
 FROM (SELECT page_id, unnest({LIS}) AS li, generate_subscripts({LIS}, 1) AS i FROM pages)""")
 def list_rows(r: Roles):
-    fields = {"href": lambda e: M.attribute(e, "href"), "title": lambda e: F.regexp_extract(e, M.LINK, 2)}
+    fields = {"href": lambda e: M.attribute(e, "href"), "title": lambda e: F.get(M.links(e), 0)["text"]}
     return E.extract_list(r.pages.drop("url"), M.all_inner("html", "li"), fields)
 
 

@@ -81,7 +81,7 @@ def rule_page_join(r: Roles):
 SELECT question_id, accept_id, a.body AS accepted_body, a.score AS accepted_score
 FROM qa LEFT JOIN answers a ON accept_id = answer_id""", "qa")
 def accepted_answer(r: Roles):
-    questions = r.qa.filter("list_part = 0").select("question_id", "accept_id")
+    questions = r.accepts.select("question_id", "accept_id")
     return J.join_accepted(questions, r.qa_posts)
 
 
@@ -90,8 +90,10 @@ SELECT question_id, (rn - 1)::BIGINT AS pos, post_id, body FROM (
   SELECT parent_id AS question_id, answer_id::VARCHAR AS post_id, body,
          row_number() OVER (PARTITION BY parent_id ORDER BY post_number) AS rn FROM answers)""", "answers")
 def answers_by_id_list(r: Roles):
-    dangling = F.when(F.col("answer_ids").isNotNull(), F.concat("answer_ids", F.lit(",-1")))
-    questions = r.qa.select("question_id", dangling.alias("answer_ids"))
+    lists = concat_children(r.stored_answers, ["parent_id"], "answer_id", ["post_number"], "ids", numbered=True)
+    questions = lists.select(
+        F.col("parent_id").alias("question_id"), F.concat("ids", F.lit(",-1")).alias("answer_ids")
+    )
     return J.join_id_list(questions, r.qa_posts).select(
         "question_id", F.col("pos").cast("long").alias("pos"), "post_id", "body"
     )

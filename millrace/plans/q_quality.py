@@ -27,8 +27,8 @@ def key_check(r: Roles):
 @query("missing_lookup", """
 SELECT parent_id AS question_id, answer_id::VARCHAR AS missing_id FROM answers WHERE is_staff""", "answers")
 def missing_lookup(r: Roles):
-    ids = concat_children(r.answers, ["parent_id"], "answer_id", ["post_number"], "answer_ids", numbered=True)
-    found = r.answers.filter("NOT is_staff")
+    ids = concat_children(r.stored_answers, ["parent_id"], "answer_id", ["post_number"], "answer_ids", numbered=True)
+    found = r.stored_answers.filter("NOT is_staff")
     missing = Q.missing_lookups(ids.select(F.col("parent_id").alias("question_id"), "answer_ids"), "answer_ids",
                                 found, "answer_id")
     return missing.select("question_id", "missing_id")
@@ -36,7 +36,7 @@ def missing_lookup(r: Roles):
 
 @query("accept_mismatch", "SELECT question_id, accept_id FROM qa WHERE accept_id IS NOT NULL AND state <> 'Accepted'", "qa")
 def accept_mismatch(r: Roles):
-    flagged = r.qa.filter("list_part = 0").withColumn("is_accepted", F.col("state") == "Accepted")
+    flagged = r.accepts.withColumn("is_accepted", F.col("state") == "Accepted")
     return Q.accept_mismatch(flagged).select("question_id", "accept_id")
 
 

@@ -10,7 +10,7 @@ from millrace.operators.joins import active_rules
 from millrace.plans.catalog import query
 from millrace.plans.q_upserts import REPLACE_SQL, repeated_writes, shown
 from millrace.plans.roles import Roles
-from millrace.session import scratch_path
+from millrace.session import cut_lineage, scratch_path
 from millrace.sources import api, feeds, pages, records
 
 
@@ -135,7 +135,7 @@ def api_envelopes(r: Roles):
         typed = F.transform("comments", lambda c: c.withField("post_type", F.lit(kind)))
         return F.coalesce("comment_count", F.lit(0)).alias("comment_count"), typed.alias("comments")
 
-    answers = r.answers.join(said.withColumnRenamed("post_id", "answer_id").drop("part"), "answer_id", "left")
+    answers = r.stored_answers.join(said.withColumnRenamed("post_id", "answer_id").drop("part"), "answer_id", "left")
     at = to_epoch("creation_time")
     answer = F.struct(
         F.col("parent_id").alias("question_id"), F.lit("Re").alias("title"), "body", at.alias("creation_date"),
@@ -143,13 +143,13 @@ def api_envelopes(r: Roles):
     )
     key = ["question_id", "part"]
     replies = A.nest(answers, ["parent_id"], answer, ["post_number"], "answers", numbered=True)
-    tags = A.nest(r.post_tags, ["post_id"], F.col("tag_id"), ["tag_id"], "tags")
+    tags = A.nest(r.post_tags, ["post_id"], F.col("tag_id"), ["tag_id"], "tags", hot=[])
     lists = (
         replies.withColumnRenamed("parent_id", "question_id")
         .join(tags.withColumnRenamed("post_id", "question_id"), key, "full")
         .join(said.withColumnRenamed("post_id", "question_id"), key, "full")
     )
-    heads = A.answer_heads(r.answers).withColumnRenamed("parent_id", "question_id")
+    heads = A.answer_heads(r.stored_answers).withColumnRenamed("parent_id", "question_id")
     questions = r.questions.join(lists, "question_id", "left").join(heads, "question_id", "left")
     at = to_epoch("update_time")
     item = F.struct(
@@ -183,7 +183,7 @@ UNION ALL SELECT 'comment:answer', comment_id, post_id, strftime(creation_time,
        FROM comments WHERE post_id IN (SELECT answer_id FROM answers JOIN questions ON parent_id = question_id)""",
        "qa comments")
 def api_flatten(r: Roles):
-    flat = api.flatten_api(api_envelopes(r), "json")
+    flat = api.flatten_api(cut_lineage(api_envelopes(r)), "json")
     value = F.concat(F.col("comment_count"), F.lit(":"), F.coalesce(F.col("accept_id").cast("string"), F.lit("")))
     posts = flat["posts"].select(
         F.col("post_type").alias("kind"), F.col("post_id").alias("id"), "parent_id",

@@ -19,14 +19,14 @@ UNION ALL SELECT question_id, 'ueanswers', score, section FROM questions WHERE N
 UNION ALL SELECT discussion_id, 'u3dforum', NULL, NULL FROM (SELECT DISTINCT discussion_id FROM posts)""",
        "questions posts")
 def union_sources(r: Roles):
-    rows = r.qa.filter("list_part = 0")
+    # The documents' heads: answers are nested per source before and not read here.
+    rows = r.accepts.withColumns({"answer_ids": F.lit(""), "tags": F.col("section")})
     picks = {"u3danswers": "state = 'Accepted'", "u3dstack": "imported", "ueanswers": "NOT imported"}
-    posts = r.qa_posts
     docs = []
     for source, condition in picks.items():
         favorite = F.col("view_count" if source == "u3dstack" else "score")
         questions = rows.filter(condition).withColumn(A.SOURCES[source]["favorite"], favorite)
-        docs.append(A.build_qa_docs(questions, posts, source=source).withColumnRenamed("question_id", "id"))
+        docs.append(A.qa_heads(questions, source).withColumnRenamed("question_id", "id"))
     ids = A.concat_children(r.posts, ["discussion_id"], "post_id", ["post_number"], "post_ids", numbered=True)
     forum = A.build_forum_docs(ids.withColumn("tags", F.lit("forum")), r.posts)
     docs.append(forum.filter("part = 0").withColumnRenamed("discussion_id", "id"))
@@ -137,15 +137,15 @@ def partial_update(r: Roles):
         null.cast("boolean").alias("is_accepted"), null.cast("long").alias("accept_id"),
         F.lit(0).cast("long").alias("answer_count"),
     )
-    replies = r.answers.select((F.col("answer_id") + 1_000_000_000).alias("id")).withColumns({
+    replies = r.stored_answers.select((F.col("answer_id") + 1_000_000_000).alias("id")).withColumns({
         "kind": F.lit("answer"), "parent_id": null.cast("long"), "is_accepted": null.cast("boolean"),
         "accept_id": null.cast("long"), "answer_count": F.lit(0).cast("long"),
     })
-    counts = r.answers.groupBy(F.col("parent_id").alias("id")).agg(F.count(F.lit(1)).alias("answer_count"))
-    chosen = A.accepted_id(r.answers).withColumnRenamed("parent_id", "id")
+    counts = r.stored_answers.groupBy(F.col("parent_id").alias("id")).agg(F.count(F.lit(1)).alias("answer_count"))
+    chosen = A.accepted_id(r.stored_answers).withColumnRenamed("parent_id", "id")
     flags = r.questions.select(F.col("question_id").alias("id"), (F.col("state") == "Accepted").alias("is_accepted"))
     of_questions = flags.join(counts, "id", "left").join(chosen, "id", "left")
-    of_answers = r.answers.select((F.col("answer_id") + 1_000_000_000).alias("id"), "parent_id", "is_accepted")
+    of_answers = r.stored_answers.select((F.col("answer_id") + 1_000_000_000).alias("id"), "parent_id", "is_accepted")
     return U.update_columns(asked, of_questions, "id").unionByName(U.update_columns(replies, of_answers, "id"))
 
 
@@ -227,7 +227,7 @@ UNION ALL SELECT 'tag', tag_id, tag_id FROM tags WHERE tag_id IN (SELECT tag_id
 UNION ALL SELECT 'question_tag', post_id::VARCHAR, tag_id FROM post_tags
           WHERE post_id IN (SELECT question_id FROM questions)""", "qa tags")
 def normalize_thread(r: Roles):
-    answers = A.nest(r.answers, ["parent_id"], F.struct("answer_id", "body"), ["post_number"], "answers", numbered=True)
+    answers = A.nest(r.stored_answers, ["parent_id"], F.struct("answer_id", "body"), ["post_number"], "answers", numbered=True)
     threads = r.qa.select(
         "question_id", "title", F.col("title").alias("body"), "accept_id", F.col("list_part").alias("part"),
         F.transform(F.split(F.coalesce("tags", F.lit("")), ","), lambda t: F.struct(t.alias("tag_id"), t.alias("name")))

@@ -14,6 +14,7 @@ from millrace.functions.urls import url_host
 from millrace.operators.dedup import dedup_first, dedup_last
 from millrace.operators.documents import accepted_id, concat_children
 from millrace.operators.skew import with_position
+from millrace.session import cut_lineage
 
 NOW_QUESTIONS = "2002-01-01 00:00:00"
 NOW_EVENTS = "2024-01-31 00:00:00"
@@ -85,6 +86,11 @@ class Roles:
             F.concat(F.lit("Answer "), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("body"),
         )
 
+    @cached_property
+    def stored_answers(self) -> DataFrame:
+        """Answers as a table of their own, for queries that read them several times."""
+        return cut_lineage(self.answers)
+
     @cached_property
     def post_tags(self) -> DataFrame:
         parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("tag_id"))
@@ -96,10 +102,11 @@ class Roles:
     @cached_property
     def qa(self) -> DataFrame:
         """Questions with accepted id and the comma lists of answers and tags."""
-        answers = self.answers.withColumnRenamed("parent_id", "question_id")
+        answers = self.stored_answers.withColumnRenamed("parent_id", "question_id")
         ids = concat_children(answers, ["question_id"], "answer_id", ["post_number"], "answer_ids", numbered=True)
         tags = self.post_tags.withColumnRenamed("post_id", "question_id")
-        names = concat_children(tags, ["question_id"], "tag_id", ["tag_id"], "tags")
+        # Distinct pairs: a question has at most one row per tag of the tag table.
+        names = concat_children(tags, ["question_id"], "tag_id", ["tag_id"], "tags", hot=[])
         lists = ids.join(names, ["question_id", "part"], "full").withColumnRenamed("part", "list_part")
         return (
             self.questions.join(accepted_id(answers, "question_id"), "question_id", "left")
@@ -107,9 +114,16 @@ class Roles:
             .withColumn("list_part", F.coalesce("list_part", F.lit(0).cast("long")))
         )
 
+    @cached_property
+    def accepts(self) -> DataFrame:
+        """Questions with the id of their accepted answer."""
+        return self.questions.join(
+            accepted_id(self.stored_answers).withColumnRenamed("parent_id", "question_id"), "question_id", "left"
+        )
+
     @cached_property
     def qa_posts(self) -> DataFrame:
-        return self.answers.withColumnRenamed("answer_id", "post_id")
+        return self.stored_answers.withColumnRenamed("answer_id", "post_id")
 
     @cached_property
     def tags(self) -> DataFrame:

@@ -47,9 +47,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared folder, so that loops keep short plans
-    and a lost executor never re-runs earlier rounds."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write `df` as a table in the shared folder and read it back.
+
+    Loops keep short plans, a lost executor never re-runs earlier rounds, and what
+    several branches read is computed once.  Unlike a checkpoint the table keeps its
+    columns apart, so each branch reads only those it needs.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
