@@ -37,7 +37,7 @@ def url_join(base: Column | str, href: Column | str) -> Column:
     route = F.regexp_extract(href, r"^[^?#]*", 0)
     rest = F.substr(href, F.length(route) + 1)
     return (
-        F.when(href == "", no_fragment)
+        F.when(href == "", base)
         .when(href.rlike(r"^(?i)[a-z][a-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^[^:]+:", 0), href))
         .when(href.startswith("/"), F.concat(origin, _fold_dots(route), rest))
