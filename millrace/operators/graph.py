@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.filters import filter_domains, filter_urls
-from millrace.operators.skew import lookup_join
+from millrace.operators.skew import hot_keys, lookup_join
 from millrace.session import cut_lineage
 
 
@@ -33,15 +33,17 @@ def next_frontier(
 def bfs(edges: DataFrame, starts: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Breadth-first depth of every page reachable from the start pages.
 
-    `edges` is (src, dst), `starts` is (page).  Each round joins the newest level only.
+    `edges` is (src, dst) and read once per round, so give it as a stored table;
+    `starts` is (page).  Each round joins the newest level only.
     """
-    edges = cut_lineage(edges.select("src", "dst"))
+    edges = edges.select("src", "dst")
+    hubs = hot_keys(edges, ["src"])
     level = cut_lineage(starts.select(F.col("page")).distinct().withColumn("depth", F.lit(0).cast("long")))
     reached, depth = level, 0
     while (max_depth is None or depth < max_depth) and not level.isEmpty():
         depth += 1
         frontier = level.select(F.col("page").alias("src"))
-        nodes = lookup_join(edges, frontier, ["src"], "left_semi").select(F.col("dst").alias("page")).distinct()
+        nodes = lookup_join(edges, frontier, ["src"], "left_semi", hot=hubs).select(F.col("dst").alias("page")).distinct()
         level = cut_lineage(
             nodes.join(reached.select("page"), "page", "left_anti").withColumn("depth", F.lit(depth).cast("long"))
         )

@@ -3,6 +3,10 @@
 A key is *hot* when it has more rows than both `HOT_ROWS` and a `HOT_SHARE` part
 of the input.  By pigeonhole there are at most ``1 / HOT_SHARE`` hot keys, which is
 the proven bound behind every broadcast in this module.
+
+Plain joins between stored tables are left to Spark, whose adaptive execution splits
+skewed shuffle partitions of inner, left, semi and anti joins by itself.  It cannot do
+so where one side comes out of an aggregation or window; those joins use `lookup_join`.
 """
 
 from __future__ import annotations

@@ -11,6 +11,7 @@ from millrace.operators.extract import LinkRule, extract_links
 from millrace.plans.catalog import query
 from millrace.plans.q_extract import LINKS_SQL
 from millrace.plans.roles import Roles
+from millrace.session import cut_lineage
 
 
 @query("link_frontier", rf"""
@@ -31,7 +32,7 @@ SELECT page, min(depth) AS depth FROM (
   SELECT * FROM walk) GROUP BY 1""", "edges")
 def bfs_depth(r: Roles):
     starts = r.table("part").filter("p_partkey = 0").select(F.col("p_partkey").alias("page"))
-    return G.bfs(r.edges, starts, 4)
+    return G.bfs(cut_lineage(r.edges), starts, 4)
 
 
 @query("page_chain", """

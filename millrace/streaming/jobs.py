@@ -104,7 +104,11 @@ def stream_changes(
     sdf: DataFrame, stored: DataFrame, log: str, checkpoint: str, key: str, ts: str, order: Sequence[str]
 ) -> StreamingQuery:
     """Mark the newest record of each key in a batch as new, updated or unchanged
-    against the latest time known before the batch, from `stored` and earlier batches."""
+    against the latest time known before the batch, from `stored` and earlier batches.
+
+    Only the known rows of keys in the batch are aggregated, so a small batch shuffles
+    little, however long the history.
+    """
 
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
@@ -112,8 +116,8 @@ def stream_changes(
         if batch_id > 0:
             earlier = spark.read.parquet(log).filter(F.col(BATCH) < batch_id)
             known = known.unionByName(earlier.select(key, ts))
-        known = known.groupBy(key).agg(F.max(ts).alias(ts))
         newest = dedup_last(df, [key], order)
+        known = known.join(newest.select(key), key, "left_semi").groupBy(key).agg(F.max(ts).alias(ts))
         append_batch(classify_changes(newest, known, key, ts), log, batch_id)
 
     return run_batches(sdf, checkpoint, handle)
