@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.values import null_token, split_list
 from millrace.operators.dedup import dedup_first
+from millrace.operators.joins import as_key
 from millrace.operators.skew import with_position
 
 CHUNK = 1000
@@ -96,7 +97,7 @@ def _comments_of(comments: DataFrame | None, chunk: int) -> DataFrame | None:
         return None
     value = F.struct(F.col("body"), F.col("creation_time"))
     lists = nest(comments, ["post_id"], value, ["creation_time", "comment_id"], "comments", chunk)
-    return lists.select(F.col("post_id").cast("string").alias("post_id"), F.col("part").alias("comment_part"), "comments")
+    return lists.withColumnRenamed("part", "comment_part")
 
 
 def build_qa_docs(
@@ -122,10 +123,10 @@ def build_qa_docs(
     others = F.when(accept.isNull(), listed).otherwise(F.filter(listed, lambda a: a != accept))
     ids = F.concat(F.when(accept.isNotNull() & leads, F.array(accept)).otherwise(F.array().cast("array<string>")), others)
     wanted = questions.select(*key, accept.alias("_accept"), F.posexplode(ids).alias("pos", "post_id"))
+    leading = F.coalesce(F.col("post_id") == F.col("_accept"), F.lit(False))
+    wanted = wanted.select(*key, "pos", leading.alias("is_accepted"), as_key("post_id", posts).alias("post_id"))
 
-    rows = wanted.join(
-        posts.select(F.col("post_id").cast("string").alias("post_id"), "creation_time", "score", "body"), "post_id"
-    )
+    rows = wanted.join(posts.select("post_id", "creation_time", "score", "body"), "post_id")
     talk = _comments_of(comments, chunk)
     if talk is None:
         rows = rows.withColumns({
@@ -135,10 +136,7 @@ def build_qa_docs(
     else:
         rows = rows.join(talk, "post_id", "left").withColumn("comment_part", F.coalesce("comment_part", F.lit(0)))
         rows = rows.withColumn("comments", F.coalesce("comments", F.array().cast(rows.schema["comments"].dataType)))
-    answer = F.struct(
-        F.coalesce(F.col("post_id") == F.col("_accept"), F.lit(False)).alias("is_accepted"),
-        "creation_time", "score", "body", "comments",
-    )
+    answer = F.struct("is_accepted", "creation_time", "score", "body", "comments")
     answers = (
         rows.withColumn("part", F.floor(F.col("pos") / chunk).cast("long"))
         .groupBy(*key, "part", "comment_part")
@@ -181,7 +179,7 @@ def build_forum_docs(discussions: DataFrame, posts: DataFrame, source: str = "u3
     wanted = discussions.select("discussion_id", F.posexplode(split_list("post_ids")).alias("pos", "post_id"))
     fields = ["post_number", "creation_time", "update_time", "body", "is_staff"]
     fields = [f for f in fields if f in posts.columns]
-    rows = wanted.join(posts.select(F.col("post_id").cast("string").alias("post_id"), *fields), "post_id")
+    rows = wanted.withColumn("post_id", as_key("post_id", posts)).join(posts.select("post_id", *fields), "post_id")
     parts = (
         rows.withColumn("part", F.floor(F.col("pos") / chunk).cast("long"))
         .groupBy("discussion_id", "part")

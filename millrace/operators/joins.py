@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.values import null_token, split_list
@@ -51,6 +51,12 @@ def join_accepted(questions: DataFrame, posts: DataFrame, fields: Sequence[str]
     return asked.join(lookup, "_accept", "left").drop("_accept")
 
 
+def as_key(name: str, table: DataFrame) -> Column:
+    """Listed ids in the type of the key they point at: whole numbers join faster than
+    texts.  An id that cannot be such a key has no row there."""
+    return F.col(name).try_cast(table.schema[name].dataType)
+
+
 def explode_ids(parents: DataFrame, ids: str, child: str = "post_id", pos: str = "pos") -> DataFrame:
     """One row per entry of a comma list of ids, with its place."""
     kept = [c for c in parents.columns if c != ids]
@@ -60,14 +66,14 @@ def explode_ids(parents: DataFrame, ids: str, child: str = "post_id", pos: str =
 def join_id_list(questions: DataFrame, posts: DataFrame, ids: str = "answer_ids", key: str = "question_id") -> DataFrame:
     """The listed posts of each question in list order; ids without a row drop out."""
     listed = explode_ids(questions.select(key, ids), ids)
-    return listed.join(posts.withColumn("post_id", F.col("post_id").cast("string")), "post_id", "inner")
+    return listed.withColumn("post_id", as_key("post_id", posts)).join(posts, "post_id", "inner")
 
 
 def join_comments(comment_lists: DataFrame, comments: DataFrame) -> DataFrame:
     """Comments of a post by its comma list of comment ids, with their place in it."""
     listed = explode_ids(comment_lists.select("post_id", "comment_ids"), "comment_ids", "comment_id")
-    return listed.join(
-        comments.select(F.col("comment_id").cast("string").alias("comment_id"), "body", "creation_time"), "comment_id"
+    return listed.withColumn("comment_id", as_key("comment_id", comments)).join(
+        comments.select("comment_id", "body", "creation_time"), "comment_id"
     )
 
 

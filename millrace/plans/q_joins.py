@@ -95,7 +95,7 @@ def answers_by_id_list(r: Roles):
         F.col("parent_id").alias("question_id"), F.concat("ids", F.lit(",-1")).alias("answer_ids")
     )
     return J.join_id_list(questions, r.qa_posts).select(
-        "question_id", F.col("pos").cast("long").alias("pos"), "post_id", "body"
+        "question_id", F.col("pos").cast("long").alias("pos"), F.col("post_id").cast("string").alias("post_id"), "body"
     )
 
 
@@ -107,7 +107,7 @@ def comments_join(r: Roles):
     lists = concat_children(r.comments, ["post_id"], "comment_id", ["comment_id"], "comment_ids")
     joined = J.join_comments(lists, r.comments)
     return joined.select(
-        "post_id", F.col("pos").cast("long").alias("pos"), "comment_id", "body",
+        "post_id", F.col("pos").cast("long").alias("pos"), F.col("comment_id").cast("string").alias("comment_id"), "body",
         format_ts("creation_time").alias("creation_time"),
     )
 
