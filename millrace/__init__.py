@@ -1,3 +1 @@
 """millrace: web-content ETL and Q&A analytics as PySpark DataFrame functions."""
-
-

@@ -1,0 +1 @@
+"""Column functions: text, urls, dates, values and pieces of HTML."""

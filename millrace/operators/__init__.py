@@ -1,0 +1 @@
+"""Functions from DataFrame to DataFrame."""

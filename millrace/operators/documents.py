@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.values import null_token, split_list
 from millrace.operators.dedup import dedup_first
 from millrace.operators.joins import as_key
-from millrace.operators.skew import with_position
+from millrace.operators.skew import HOT_ROWS, fan_out_join, with_position
 
 CHUNK = 1000
 
@@ -106,6 +106,7 @@ def build_qa_docs(
     comments: DataFrame | None = None,
     source: str = "u3danswers",
     chunk: int = CHUNK,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Question documents with tags and answers, the accepted answer first.
 
@@ -142,7 +143,9 @@ def build_qa_docs(
         .groupBy(*key, "part", "comment_part")
         .agg(in_order("pos", answer).alias("answers"))
     )
-    docs = qa_heads(questions, source).join(answers, key, "left")
+    # A list row of `concat_children` is one part; only lists of free length can fan out.
+    hot = [] if len(key) > 1 else _long_lists(questions, "question_id", "answer_ids", hot_rows)
+    docs = fan_out_join(qa_heads(questions, source), answers, key, hot)
     return docs.withColumns({
         "part": F.coalesce("part", F.lit(0)),
         "comment_part": F.coalesce("comment_part", F.lit(0)),
@@ -150,6 +153,13 @@ def build_qa_docs(
     })
 
 
+def _long_lists(df: DataFrame, key: str, ids: str, hot_rows: int) -> list[Row]:
+    """Parents whose id lists are too long for one task. They are few: each has more
+    than `hot_rows` entries, and a list has to fit one row."""
+    entries = F.sum(F.size(split_list(ids)))
+    return df.groupBy(key).agg(entries.alias("n")).filter(F.col("n") > hot_rows).collect()
+
+
 def qa_heads(questions: DataFrame, source: str = "u3danswers") -> DataFrame:
     """Question documents without their answers: scalars, counts, source and tags."""
     key = ["question_id"] + (["list_part"] if "list_part" in questions.columns else [])
@@ -170,7 +180,9 @@ def qa_heads(questions: DataFrame, source: str = "u3danswers") -> DataFrame:
     )
 
 
-def build_forum_docs(discussions: DataFrame, posts: DataFrame, source: str = "u3dforum", chunk: int = CHUNK) -> DataFrame:
+def build_forum_docs(
+    discussions: DataFrame, posts: DataFrame, source: str = "u3dforum", chunk: int = CHUNK, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Discussion documents: body of post number 1, else of the last post, and all posts.
 
     `discussions` holds the comma lists tags and post_ids.  A discussion without posts
@@ -193,11 +205,11 @@ def build_forum_docs(discussions: DataFrame, posts: DataFrame, source: str = "u3
     tags = split_list("tags")
     scalars = [c for c in ("discussion_id", "link", "title", "creation_time", "update_time", "reply_count",
                            "view_count") if c in discussions.columns]
-    return (
-        discussions.select(*scalars, F.lit(source).alias("source"), tags.alias("tags"), tags.alias("tags_analyzer"))
-        .join(heads, "discussion_id")
-        .join(parts.drop("_first", "_last"), "discussion_id")
-    )
+    heads = discussions.select(
+        *scalars, F.lit(source).alias("source"), tags.alias("tags"), tags.alias("tags_analyzer")
+    ).join(heads, "discussion_id")
+    hot = _long_lists(discussions, "discussion_id", "post_ids", hot_rows)
+    return fan_out_join(heads, parts.drop("_first", "_last"), ["discussion_id"], hot)
 
 
 def merge_thread_pages(df: DataFrame, chunk: int = CHUNK) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.operators.dedup import dedup_first
-from millrace.operators.skew import _before, hot_keys, lookup_join, orders, sort_columns, with_position
+from millrace.operators.skew import precedes, hot_keys, lookup_join, orders, sort_columns, with_position
 
 NEXT_PAGE_PRIORITY = -1  # fixed value: list pages wait for all entries
 
@@ -37,7 +37,7 @@ def cut_from(
     """Rows before the first flagged row of their key."""
     first = dedup_first(flagged, keys, order).withColumn("_cut", _place(order))
     marked = _attach(df, first, keys, "_cut", hot)
-    return marked.filter(F.col("_cut").isNull() | _before(orders(order), _place(order), F.col("_cut"))).drop("_cut")
+    return marked.filter(F.col("_cut").isNull() | precedes(orders(order), _place(order), F.col("_cut"))).drop("_cut")
 
 
 def stop_at_date(df: DataFrame, order: Sequence[str], ts: str, stop: Column, keys: Sequence[str] = ()) -> DataFrame:
@@ -60,7 +60,7 @@ def stop_after_unchanged(
         return cut_from(df, limit, keys, order)
     hot = hot_keys(df, keys) if keys else None
     after = _attach(df, limit.withColumn("_seen", _place(order)), keys, "_seen", hot)
-    late = F.col("_seen").isNotNull() & _before(orders(order), F.col("_seen"), _place(order))
+    late = F.col("_seen").isNotNull() & precedes(orders(order), F.col("_seen"), _place(order))
     return cut_from(df, after.filter(late & ~recent).drop("_seen"), keys, order, hot)
 
 

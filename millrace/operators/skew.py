@@ -50,7 +50,7 @@ def sort_columns(spec: Sequence[str]) -> list[Column]:
     return [o.sort() for o in orders(spec)]
 
 
-def _before(spec: list[Order], left: Column, right: Column) -> Column:
+def precedes(spec: list[Order], left: Column, right: Column) -> Column:
     """Lexicographic comparison of two structs under mixed directions."""
     result = F.lit(False)
     for o in reversed(spec):
@@ -145,7 +145,7 @@ def with_position(
     rows_per_range = max(1, hot_rows, int(sum(r["n"] for r in hot) * hot_share))
     bounds = _range_bounds(df, keys, spec, hot, rows_per_range)
     here = F.struct(*[F.col(f"r.{o.name}").alias(o.name) for o in spec])
-    passed = lambda arr: F.size(F.filter(arr, lambda b: _before(spec, b, here)))
+    passed = lambda arr: F.size(F.filter(arr, lambda b: precedes(spec, b, here)))
     every = F.transform(
         F.sequence(F.lit(1), F.ceil(F.size("b._bounds") / F.lit(FAN_OUT)).cast("int")),
         lambda i: F.element_at("b._bounds", F.least(i * FAN_OUT, F.size("b._bounds"))),
@@ -200,6 +200,26 @@ def lookup_join(
     return hot_side.unionByName(cold_side)
 
 
+def fan_out_join(heads: DataFrame, parts: DataFrame, on: Sequence[str], hot: list[Row]) -> DataFrame:
+    """Left join of one head per key to its many parts.
+
+    Parts of hot keys stay where they are and meet a broadcast of just those heads
+    (bounded by the number of hot keys); all others take the ordinary shuffled join.
+    """
+    on = list(on)
+    if not hot:
+        return heads.join(parts, on, "left")
+    names = F.broadcast(
+        heads.sparkSession.createDataFrame([tuple(r[k] for k in on) for r in hot], heads.select(*on).schema)
+    )
+    few = heads.join(names, on, "left_semi")
+    hot_parts = parts.join(names, on, "left_semi")
+    joined = hot_parts.join(F.broadcast(few), on).select(*heads.columns, *[c for c in parts.columns if c not in on])
+    bare = few.join(hot_parts.select(*on).distinct(), on, "left_anti")
+    cold = heads.join(names, on, "left_anti").join(parts.join(names, on, "left_anti"), on, "left")
+    return cold.unionByName(joined).unionByName(bare, allowMissingColumns=True)
+
+
 def small_enough(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
     """Broadcast hint for `df` when a count proves it small, else `df` unchanged."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -1,0 +1 @@
+"""Reading and writing pages, feeds, API pages and record files."""

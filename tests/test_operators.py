@@ -219,6 +219,17 @@ def test_large_documents_come_in_parts(spark, posts):
     assert said == ["c1", "c2", "c3", "c4", "c5"]
 
 
+def test_documents_of_hot_parents_are_the_same(spark, posts):
+    q = questions(spark, [(1, "3", "1,2,3,99", "a,b"), (2, "NULL", "4", ""), (3, "5", "98,99,97", None), (4, "", "", "t")])
+    cold, hot = A.build_qa_docs(q, posts, chunk=2), A.build_qa_docs(q, posts, chunk=2, hot_rows=2)
+    assert sorted(map(str, hot.select(*cold.columns).collect())) == sorted(map(str, cold.collect()))
+    numbered = posts.withColumn("post_number", F.col("post_id"))
+    disc = spark.createDataFrame([(1, "t", "1,2,3"), (2, "", "3,4"), (3, "", "97,98,99")], "discussion_id long, tags string, post_ids string")
+    cold, hot = A.build_forum_docs(disc, numbered, chunk=2), A.build_forum_docs(disc, numbered, chunk=2, hot_rows=2)
+    assert cold.count() == 3
+    assert sorted(map(str, hot.select(*cold.columns).collect())) == sorted(map(str, cold.collect()))
+
+
 def test_nested_parts_lose_no_child(spark):
     df = spark.createDataFrame([(i % 3, i) for i in range(100)], "p int, c int")
     parts = A.nest(df, ["p"], F.col("c"), ["c"], "cs", chunk=7).orderBy("p", "part").collect()
