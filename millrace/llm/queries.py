@@ -69,12 +69,12 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 ORACLES = {
     "op5_near_dedup": rf"""
         WITH RECURSIVE w AS MATERIALIZED (
-            SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
             FROM documents),
         s AS MATERIALIZED (
             SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
                 WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(list_slice(w, i, i + 4), ' ')) END) AS g
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS g
             FROM w),
         n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         c AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
