@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, fingerprints, language, line_dedup, near_dedup, packing, substring_dedup, url_filters
+from millrace.llm import (bpe, fingerprints, language, licenses, line_dedup, near_dedup, neighbours, packing, substring_dedup,
+                          url_filters)
 
 LEARN_PARTS, HELD_OUT = 3, 1
 #: Fixed values of the url query.
@@ -17,6 +18,15 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", *columns)
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("id") % 20 == 0)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), with_ids=False).drop("ids")
 
@@ -61,8 +71,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_fingerprints, op5_near_dedup, op6_line_dedup, op7_url_filters, op8_language,
-                                   op9_substring_dedup, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_neighbours, op3_packing, op4_fingerprints, op5_near_dedup, op6_line_dedup, op7_url_filters,
+                                   op8_language, op9_substring_dedup, op10_bpe)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
