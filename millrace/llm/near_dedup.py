@@ -5,10 +5,16 @@ Each distinct set of shingles is one node with a signature of `COORDINATES` mini
 about one in ten millions.  Two nodes with so many matches share one of the rarest `COORDINATES - MATCHES + 1` pairs of
 each, in one order for all: only this prefix is joined, the `MATCHES - 1` most frequent pairs of a node are skipped.
 
-In a posting list each node meets the list's hub first, a list of n giving n - 1 candidates.  Candidates with enough
-matching coordinates are confirmed on their full sets, links are joined to components, and only lists that still hold
-several components go on.  When what is left is small, or hubs give no new link, each node meets every node of other
-components in its lists, which is exact for the rest.
+Each list has a hub, the most central of its nodes: the one whose pairs are the most frequent, as those of the original
+among its copies.  In a round each node meets one hub, the most central of those of its lists that are in other
+components, so candidates never outnumber the nodes.  Candidates with enough matching coordinates are confirmed on their
+full sets, links are joined to components, and only lists that still hold several components go on.
+When what is left is small, or after `HUB_ROUNDS`, each node meets every node of other components in its lists, which
+is exact for the rest.
+
+Two exact bounds keep unlike candidates from the full sets: linked sets differ in size by a quarter at most, and in at
+most a seventh of their summed sizes as elements; a sketch of one parity bit for each of 1,024 hash values differs in no
+more bits than the sets differ in elements.
 
 Null texts and texts without words have no shingles and are linked with nothing.  A null id ranks last; a component of
 null ids alone has the id null and keeps its rows.  Repeated rows and equal texts are one node.  Only id and text are
@@ -22,7 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import HASH, KEY, Cache, add_columns, with_key
@@ -33,8 +39,9 @@ SHINGLE = 5
 COORDINATES = 64
 MATCHES = 30
 PERCENT = 75
-HUB_ROUNDS = 8
-FEW = 4  # candidates for each posting that may be met at once
+PARITIES = 1024
+HUB_ROUNDS = 2
+FEW = 2  # candidates for each posting that may be met at once
 
 _MIX = np.random.RandomState(20).randint(1, 2**62, (2, COORDINATES)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.random.RandomState(5).randint(1, 2**62, SHINGLE + 1).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,46 +75,68 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The upper halves of the minima of the set under each coordinate's hash."""
-    minima = [((shingles ^ add) * factor).min() for add, factor in _MIX.T]
-    return (np.array(minima, np.uint64) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    add, factor = _MIX
+    minima = np.full(COORDINATES, 2**64 - 1, np.uint64)
+    for at in range(0, len(shingles), 512):
+        minima = np.minimum(minima, ((shingles[at:at + 512, None] ^ add) * factor).min(0))
+    return (minima >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles has each of the hash values, as 64-bit words."""
+    odd = np.bincount((shingles & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
 
 
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, hash, n_shingles, node, signature) of every row; node and signature are null without words."""
+    """(key, hash, n_shingles, node, signature, parity) of every row; what follows the size is null without words."""
 
     def make():
         def run(batch):
-            sizes, nodes, signatures = [], [], []
+            sizes, nodes, signatures, parity = [], [], [], []
             for t in batch.column(text).to_pylist():
                 own = shingle_set(t)
                 sizes.append(len(own))
                 nodes.append(xxhash.xxh3_64_intdigest(own.tobytes()) - 2**63 if len(own) else None)
                 signatures.append(signature(own) if len(own) else None)
-            return [sizes, nodes, signatures]
+                parity.append(parities(own) if len(own) else None)
+            return [sizes, nodes, signatures, parity]
 
         return run
 
     keyed = with_key(docs.select(key, text), key, text)
-    return add_columns(keyed, make, "n_shingles long, node long, signature array<int>").drop(text)
+    return add_columns(keyed, make, "n_shingles long, node long, signature array<int>, parity array<long>").drop(text)
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    """(`node`, `token`): the prefix of each node's pairs, rarest first, without pairs that no other node has."""
+    """(`node`, `token`, `central`): the prefix of each node's pairs, rarest first, without pairs that no other node has.
+
+    `central` sums how often the node's pairs occur."""
     tokens = nodes.select("node", F.posexplode("signature").alias("c", "v"))
     tokens = tokens.select("node", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("v").cast("long")).alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     ordered = tokens.join(often, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"))
     length = COORDINATES - MATCHES + 1 - (COORDINATES - F.size("own"))  # pairs of this node alone come first
-    prefix = ordered.where(length > 0).select("node", F.explode(F.slice("own", F.lit(1), length)).alias("x"))
-    return prefix.select("node", F.col("x.token").alias("token"))
+    central = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    prefix = ordered.where(length > 0).select("node", central.alias("central"), F.explode(F.slice("own", F.lit(1), length)).alias("x"))
+    return prefix.select("node", F.col("x.token").alias("token"), "central")
+
+
+def _alike(a: str, b: str) -> Column:
+    """Whether the nodes in the structs `a` and `b` may be linked: sizes, parities, then coordinates."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    sizes = 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+    words = [F.bit_count(F.get(f"{a}.parity", F.lit(i)).bitwiseXOR(F.get(f"{b}.parity", F.lit(i)))) for i in range(PARITIES // 64)]
+    same = F.size(F.filter(F.zip_with(f"{a}.signature", f"{b}.signature", lambda x, y: x == y), lambda e: e))
+    return sizes & (sum(words[1:], words[0]) * (100 + PERCENT) <= (100 - PERCENT) * (n + m)) & (same >= MATCHES)
 
 
 def _matching(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that agree in enough coordinates."""
-    a = nodes.select(F.col("node").alias("a"), F.col("signature").alias("s"))
-    b = nodes.select(F.col("node").alias("b"), F.col("signature").alias("t"))
-    same = F.size(F.filter(F.zip_with("s", "t", lambda x, y: x == y), lambda e: e))
-    return pairs.join(a, "a").join(b, "b").where(same >= MATCHES).select("a", "b")
+    """The pairs that may be linked."""
+    sketch = F.struct("n", "parity", "signature")
+    a = nodes.select(F.col("node").alias("a"), sketch.alias("s"))
+    b = nodes.select(F.col("node").alias("b"), sketch.alias("t"))
+    return pairs.join(a, "a").join(b, "b").where(_alike("s", "t")).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, places: DataFrame, keyed: DataFrame, text: str) -> DataFrame:
@@ -139,7 +168,9 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """One row per document: `doc_id, n_shingles, component_id, kept`, and its class `node` (null: no words)."""
     keyed = with_key(docs.select(key, text), key, text)
     own = cut_lineage(sketches(docs, key, text))
-    nodes = own.where(F.col("node").isNotNull()).groupBy("node").agg(F.any_value("signature").alias("signature"))
+    nodes = own.where(F.col("node").isNotNull()).groupBy("node").agg(
+        F.any_value("n_shingles").alias("n"), F.any_value("parity").alias("parity"), F.any_value("signature").alias("signature"))
+    nodes = cut_lineage(nodes)
     places = own.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct(KEY, HASH)).alias("x")).select("node", "x.*")
     lists = cut_lineage(postings(nodes))
     links = own.sparkSession.createDataFrame([], "a long, b long")
@@ -156,15 +187,17 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             break
         last = work["pairs"] <= FEW * work["rows"] or rounds >= HUB_ROUNDS or work["pairs"] == before
         before, rounds = work["pairs"], rounds + 1
-        a = left.select("token", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        if not last:
-            order = F.struct(F.xxhash64("root", F.lit(rounds)), F.xxhash64("node", F.lit(rounds)), F.col("node"), F.col("root"))
-            a = left.groupBy("token").agg(F.min(order).alias("h")).select(
-                "token", F.col("h.node").alias("a"), F.col("h.root").alias("root_a"))
-        b = left.select("token", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        met = a.join(b, "token").where("root_a < root_b" if last else "root_a != root_b")
-        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        likely = cut_lineage(_matching(pairs, nodes))
+        if last:
+            whole = left.join(nodes, "node").select("token", "node", "root", F.struct("n", "parity", "signature").alias("sketch"))
+            a, b = (whole.select("token", F.col("node").alias(x), F.col("root").alias(f"root_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+                    for x in "ab")
+            met = a.join(b, (a["token"] == b["token"]) & (F.col("root_a") < F.col("root_b")) & _alike("sketch_a", "sketch_b"))
+            likely = cut_lineage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        else:
+            hubs = left.groupBy("token").agg(F.max(F.struct("central", "node", "root")).alias("hub"))
+            met = left.join(hubs, "token").where(F.col("hub.root") != F.col("root")).groupBy("node").agg(F.max("hub").alias("hub"))
+            pairs = met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+            likely = cut_lineage(_matching(pairs, nodes))
         links = cut_lineage(links.union(_confirmed(likely, places, keyed, text)))
         roots = cut_lineage(components(links))
         if last:
