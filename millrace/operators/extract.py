@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import markup as M
 from millrace.functions.selectors import select_fields
-from millrace.functions.text import apply_rule_fn, col, let, strip_tags, strip_ws
+from millrace.functions.text import apply_rule_fn, let, strip_tags, strip_ws
 from millrace.functions.urls import section_base, url_join
 from millrace.operators.filters import url_allowed
 from millrace.operators.joins import match_rules
@@ -167,11 +167,14 @@ def parse_pages(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                head = {c: getattr(row, c) for c in keep}
-                records = [{**head, **record} for record in parser(row.url, row.html)]
-                if records:
-                    yield pd.DataFrame.from_records(records)
+            heads = batch[keep].to_dict("records")
+            records = [
+                {**head, **record}
+                for head, url, html in zip(heads, batch["url"], batch["html"])
+                for record in parser(url, html)
+            ]
+            if records:
+                yield pd.DataFrame.from_records(records)
 
     columns = list(dict.fromkeys([*keep, "url", "html"]))
     return pages.select(*columns).mapInPandas(run, schema)

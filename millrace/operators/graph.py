@@ -51,7 +51,7 @@ def bfs(edges: DataFrame, starts: DataFrame, max_depth: int | None = None) -> Da
     return reached
 
 
-def page_chain(pages: DataFrame, max_rounds: int = 48) -> DataFrame:
+def page_chain(pages: DataFrame) -> DataFrame:
     """Page number and total of each page of a thread, from next-page links.
 
     `pages` is (page_id, next_id), each page being the next of at most one other.
@@ -67,7 +67,7 @@ def page_chain(pages: DataFrame, max_rounds: int = 48) -> DataFrame:
         )
     )
     open_before = None
-    for _ in range(max_rounds):
+    while True:
         open_now = state.filter("NOT done").count()
         # No page finishes in a round once only cycles are left.
         if not open_now or (open_before == open_now and _settled(state)):

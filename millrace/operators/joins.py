@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import null_token, split_list
@@ -63,15 +63,27 @@ def explode_ids(parents: DataFrame, ids: str, child: str = "post_id", pos: str =
     return parents.select(*kept, F.posexplode(split_list(ids)).alias(pos, child))
 
 
+def with_start(lists: DataFrame, key: str, ids: str) -> DataFrame:
+    """`key`, `ids` and `start`, the number of entries in the parts of the same list before (column `part`, if any)."""
+    if "part" not in lists.columns:
+        return lists.select(key, ids, F.lit(0).cast("long").alias("start"))
+    before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.size(split_list(ids))).over(before), F.lit(0))
+    return lists.select(key, ids, start.alias("start"))
+
+
 def join_id_list(questions: DataFrame, posts: DataFrame, ids: str = "answer_ids", key: str = "question_id") -> DataFrame:
-    """The listed posts of each question in list order; ids without a row drop out."""
-    listed = explode_ids(questions.select(key, ids), ids)
+    """The listed posts of each question in list order; ids without a row drop out.
+
+    A list in several rows (`part`) is counted through."""
+    listed = explode_ids(with_start(questions, key, ids), ids).withColumn("pos", (F.col("pos") + F.col("start")).cast("int")).drop("start")
     return listed.withColumn("post_id", as_key("post_id", posts)).join(posts, "post_id", "inner")
 
 
 def join_comments(comment_lists: DataFrame, comments: DataFrame) -> DataFrame:
     """Comments of a post by its comma list of comment ids, with their place in it."""
-    listed = explode_ids(comment_lists.select("post_id", "comment_ids"), "comment_ids", "comment_id")
+    listed = explode_ids(with_start(comment_lists, "post_id", "comment_ids"), "comment_ids", "comment_id")
+    listed = listed.withColumn("pos", (F.col("pos") + F.col("start")).cast("int")).drop("start")
     return listed.withColumn("comment_id", as_key("comment_id", comments)).join(
         comments.select("comment_id", "body", "creation_time"), "comment_id"
     )

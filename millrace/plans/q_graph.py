@@ -26,13 +26,14 @@ def link_frontier(r: Roles):
 
 
 @query("bfs_depth", """
-SELECT page, min(depth) AS depth FROM (
-  WITH RECURSIVE walk AS (SELECT 0::BIGINT AS page, 0::BIGINT AS depth
-    UNION SELECT dst, depth + 1 FROM walk JOIN edges ON src = page WHERE depth < 4)
-  SELECT * FROM walk) GROUP BY 1""", "edges")
+SELECT page, depth FROM (
+  WITH RECURSIVE walk(page, depth) USING KEY (page) AS (SELECT 0::BIGINT, 0::BIGINT
+    UNION SELECT dst, min(walk.depth + 1) FROM walk JOIN edges ON src = walk.page
+      LEFT JOIN recurring.walk AS known ON known.page = dst WHERE known.page IS NULL GROUP BY dst)
+  SELECT * FROM walk)""", "edges")
 def bfs_depth(r: Roles):
     starts = r.table("part").filter("p_partkey = 0").select(F.col("p_partkey").alias("page"))
-    return G.bfs(cut_lineage(r.edges), starts, 4)
+    return G.bfs(cut_lineage(r.edges), starts)
 
 
 @query("page_chain", """

@@ -8,7 +8,7 @@ from millrace.functions.dates import format_ts
 from millrace.operators import changes as C
 from millrace.operators import joins as J
 from millrace.operators.dedup import drop_seen, drop_unchanged
-from millrace.operators.documents import concat_children
+from millrace.operators.documents import CHUNK, concat_children
 from millrace.plans.catalog import query
 from millrace.plans.roles import NOW_EVENTS, Roles, ts
 
@@ -92,7 +92,8 @@ SELECT question_id, (rn - 1)::BIGINT AS pos, post_id, body FROM (
 def answers_by_id_list(r: Roles):
     lists = concat_children(r.stored_answers, ["parent_id"], "answer_id", ["post_number"], "ids", numbered=True)
     questions = lists.select(
-        F.col("parent_id").alias("question_id"), F.concat("ids", F.lit(",-1")).alias("answer_ids")
+        F.col("parent_id").alias("question_id"), "part",  # an id without a row ends each list
+        F.concat("ids", F.when(F.size(F.split("ids", ",")) < CHUNK, ",-1").otherwise("")).alias("answer_ids"),
     )
     return J.join_id_list(questions, r.qa_posts).select(
         "question_id", F.col("pos").cast("long").alias("pos"), F.col("post_id").cast("string").alias("post_id"), "body"

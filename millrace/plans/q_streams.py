@@ -58,12 +58,11 @@ def stream_upsert(r: Roles):
 @query("stream_changes", """
 SELECT item_id, event_id, CASE WHEN s.update_time IS NULL THEN 'new' WHEN s.update_time < i.update_time THEN 'updated'
        ELSE 'unchanged' END AS change
-FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY update_time DESC, event_id DESC) AS rn FROM items
-      WHERE process_type = 'signup') AS i LEFT JOIN stored_items s USING (item_id) WHERE rn = 1""",
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY update_time DESC, event_id DESC) AS rn FROM items) AS i LEFT JOIN stored_items s USING (item_id) WHERE rn = 1""",
        "items stored_items")
 def stream_changes(r: Roles):
     log, checkpoint = folders(r, "changes")
-    items = stream(r, "events").filter("event_type = 'signup'").select(
+    items = stream(r, "events").select(
         F.col("user_id").alias("item_id"), F.col("ts").alias("update_time"), "event_id"
     )
     jobs.stream_changes(items, r.stored_items, log, checkpoint, "item_id", "update_time", ["update_time", "event_id"])
