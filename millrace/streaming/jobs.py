@@ -126,7 +126,7 @@ def stream_changes(
 def stream_publish(
     sdf: DataFrame, log: str, checkpoint: str, key: str, order: Sequence[str], published: DataFrame | None = None
 ) -> StreamingQuery:
-    """Append documents not yet published to the index log: neither in `published` nor by an earlier batch.
+    """Append documents not yet published to the index log: neither in `published` nor, in the same version (`order`), by an earlier batch.
 
     Delivery is at least once; reading the log by id (`current_rows`) makes it idempotent.
     """
@@ -137,7 +137,7 @@ def stream_publish(
             fresh = fresh.join(published.select(key), key, "left_anti")
         if batch_id > 0:
             earlier = df.sparkSession.read.parquet(log).filter(F.col(BATCH) < batch_id)
-            fresh = fresh.join(earlier.select(key), key, "left_anti")
+            fresh = fresh.join(earlier.select(key, *order), [key, *order], "left_anti")
         append_batch(fresh, log, batch_id)
 
     return run_batches(sdf, checkpoint, handle)
