@@ -94,9 +94,12 @@ def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int)
 
 
 def document_pairs(lines: DataFrame, rare: int) -> DataFrame:
-    """(`earlier`, `later`) keys of documents that share a telling line; `lines` has (line, key)."""
+    """(`earlier`, `later`) keys of documents that share a telling line; `lines` has (line, key).
+
+    The shared lines are a table, so that Spark can split the join at a line which very many documents hold.
+    """
     shared = lines.groupBy("line").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n"))
-    held = cut_lineage(lines.join(shared.where("first < last").drop("last"), "line"))
+    held = cut_lineage(lines.join(cut_lineage(shared.where("first < last").drop("last")), "line"))
     by_first = held.where("key > first").select(F.col("first").alias("earlier"), F.col("key").alias("later"))
     few = held.where(F.col("n") <= rare).select("line", "key")
     by_line = few.withColumnRenamed("key", "earlier").join(few.withColumnRenamed("key", "later"), "line").where("earlier < later")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import HASH, KEY, add_columns, with_key
+from millrace.session import cut_lineage
 
 MIN_WORDS = 20
 TELLING = 3  # words of a unit that is hashed
@@ -38,10 +39,6 @@ def digest_of(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words).encode())
 
 
-def _signed(n: int) -> int:
-    return n - (1 << 64) if n >> 63 else n
-
-
 def _digests(batches):
     """(key, hash, text) -> (upper, lower half of the digest, key, tag): the first place of each unit in a document.
 
@@ -103,27 +100,32 @@ def repeats_removed(text: str, places: set[int], min_words: int) -> tuple[str, l
 
 
 def repeated_units(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(`key`, `tags`) of the units that documents before hold: tags of a document's own repeats."""
+    """(`key`, `document`, `tags`) of the units that documents before hold: tags of a document's own repeats.
+
+    `document` holds the tag's bits of the text's hash, so that the rows of one id (or of none) are groups of their own.
+    The shared units are a table, so that Spark can split the join at a unit which very many documents hold.
+    """
     keyed = with_key(docs.select(key, text), key, text)
     units = keyed.select(KEY, HASH, text).mapInArrow(_digests, "upper long, lower long, key long, tag long")
-    shared = (units.groupBy("upper", "lower").agg(F.min("key").alias("first"), F.max("key").alias("last"))
-              .where("first < last").select("upper", "lower", "first"))
+    shared = cut_lineage(units.groupBy("upper", "lower").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+                         .where("first < last").select("upper", "lower", "first"))
     later = units.join(shared, ["upper", "lower"]).where("key > first")
-    return later.groupBy("key").agg(F.collect_list("tag").alias("tags"))
+    return later.groupBy("key", F.shiftright("tag", PLACE_BITS).alias("document")).agg(F.collect_list("tag").alias("tags"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed",
                    min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with the repeats cut out of `text`; `removed` lists (start, end) in the original, in code points."""
     columns = [c for c in docs.columns if c != removed]
-    found = repeated_units(docs, key, text).withColumnRenamed("key", KEY).withColumnRenamed("tags", "__tags")
-    keyed = with_key(docs.select(*columns), key, text).join(found, KEY, "left")
+    found = repeated_units(docs, key, text).withColumnsRenamed({"key": KEY, "document": "__document", "tags": "__tags"})
+    document = F.col(HASH).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
+    keyed = with_key(docs.select(*columns), key, text).withColumn("__document", document).join(found, [KEY, "__document"], "left")
 
     def make():
         def run(batch):
             texts, spans = [], []
-            for t, own, tags in zip(*(batch.column(c).to_pylist() for c in (text, HASH, "__tags"))):
-                places = {x & (1 << PLACE_BITS) - 1 for x in tags or () if x >> PLACE_BITS == tag_of(own)}
+            for t, tags in zip(*(batch.column(c).to_pylist() for c in (text, "__tags"))):
+                places = {x & (1 << PLACE_BITS) - 1 for x in tags or ()}
                 new, cut = (None, []) if t is None else repeats_removed(t, places, min_words)
                 texts.append(new)
                 spans.append(cut)
