@@ -2,20 +2,23 @@
 
 A nested row must fit one task, so children are cut into parts of at most `CHUNK`
 by their place under the parent.  Ordinary parents have a single part 0; a parent
-with more children gets more rows, and no child is lost.
+with more children gets more rows, and no child is lost.  Parts are a layout only:
+places, counts, tags and bodies are those of the whole parent, also where its list
+of children comes in several rows itself (column `list_part`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import null_token, split_list
 from millrace.operators.dedup import dedup_first
 from millrace.operators.joins import as_key
-from millrace.operators.skew import HOT_ROWS, fan_out_join, with_position
+from millrace.operators.skew import HOT_ROWS, HOT_SHARE, fan_out_join, with_position
+from millrace.session import cut_lineage
 
 CHUNK = 1000
 
@@ -114,18 +117,19 @@ def build_qa_docs(
     keyed by post_id.  Answers follow in list order, listed ids without a row drop out,
     and an accepted answer counts even when it is not listed.  answer_count is the
     length of the list.  Rows are (question_id, part, comment_part, ...): both parts
-    are 0 but for questions with very many answers or comments.  When the lists
-    themselves come in several rows per question, `list_part` tells them apart.
+    are 0 but for questions with very many answers or comments.  Lists may come in
+    several rows per question, numbered from 0 by `list_part`; they count as one list.
     """
-    key = ["question_id"] + (["list_part"] if "list_part" in questions.columns else [])
-    leads = F.col("list_part") == 0 if len(key) > 1 else F.lit(True)
+    if "list_part" in questions.columns:
+        questions = cut_lineage(questions)  # the lists are an aggregate, read for answers, heads and long lists
+    leads = F.col("list_part") == 0 if "list_part" in questions.columns else F.lit(True)
     accept = null_token(F.col("accept_id").cast("string"))
     listed = split_list(F.col("answer_ids"))
     others = F.when(accept.isNull(), listed).otherwise(F.filter(listed, lambda a: a != accept))
     ids = F.concat(F.when(accept.isNotNull() & leads, F.array(accept)).otherwise(F.array().cast("array<string>")), others)
-    wanted = questions.select(*key, accept.alias("_accept"), F.posexplode(ids).alias("pos", "post_id"))
+    wanted = _explode_lists(questions.withColumn("_accept", accept), "question_id", ids, "_accept")
     leading = F.coalesce(F.col("post_id") == F.col("_accept"), F.lit(False))
-    wanted = wanted.select(*key, "pos", leading.alias("is_accepted"), as_key("post_id", posts).alias("post_id"))
+    wanted = wanted.select("question_id", "pos", leading.alias("is_accepted"), as_key("post_id", posts).alias("post_id"))
 
     rows = wanted.join(posts.select("post_id", "creation_time", "score", "body"), "post_id")
     talk = _comments_of(comments, chunk)
@@ -140,12 +144,11 @@ def build_qa_docs(
     answer = F.struct("is_accepted", "creation_time", "score", "body", "comments")
     answers = (
         rows.withColumn("part", F.floor(F.col("pos") / chunk).cast("long"))
-        .groupBy(*key, "part", "comment_part")
+        .groupBy("question_id", "part", "comment_part")
         .agg(in_order("pos", answer).alias("answers"))
     )
-    # A list row of `concat_children` is one part; only lists of free length can fan out.
-    hot = [] if len(key) > 1 else _long_lists(questions, "question_id", "answer_ids", hot_rows)
-    docs = fan_out_join(qa_heads(questions, source), answers, key, hot)
+    hot = _long_lists(questions, "question_id", "answer_ids", hot_rows)
+    docs = fan_out_join(qa_heads(questions, source), answers, ["question_id"], hot)
     return docs.withColumns({
         "part": F.coalesce("part", F.lit(0)),
         "comment_part": F.coalesce("comment_part", F.lit(0)),
@@ -153,23 +156,50 @@ def build_qa_docs(
     })
 
 
-def _long_lists(df: DataFrame, key: str, ids: str, hot_rows: int) -> list[Row]:
-    """Parents whose id lists are too long for one task. They are few: each has more
-    than `hot_rows` entries, and a list has to fit one row."""
+def _explode_lists(parents: DataFrame, key: str, ids: Column, *more: str) -> DataFrame:
+    """One row per listed id: (key, more..., pos, post_id), with its place in the whole list of its parent."""
+    lists = parents.withColumn("_ids", ids)
+    start = F.lit(0)
+    if "list_part" in parents.columns:
+        before = Window.partitionBy(key).orderBy("list_part").rowsBetween(Window.unboundedPreceding, -1)
+        start = F.coalesce(F.sum(F.size("_ids")).over(before), F.lit(0))
+    lists = lists.select(key, *more, start.cast("long").alias("_start"), "_ids")
+    listed = lists.select(key, *more, "_start", F.posexplode("_ids").alias("_pos", "post_id"))
+    return listed.select(key, *more, (F.col("_start") + F.col("_pos")).alias("pos"), "post_id")
+
+
+def _one_head(heads: DataFrame, key: str, count: str | None = None) -> DataFrame:
+    """One row per parent from those of its list parts: the first part's values, all tags, `count` summed."""
+    if "list_part" not in heads.columns:
+        return heads
+    tags = F.sort_array(F.collect_list(F.when(F.size("tags") > 0, F.struct("list_part", "tags"))))
+    summed = [F.sum(count).alias("_count")] if count else []
+    whole = heads.groupBy(key).agg(
+        F.min_by(F.struct(*heads.columns), "list_part").alias("_head"),
+        F.flatten(F.transform(tags, lambda t: t["tags"])).alias("_tags"), *summed)
+    changed = {"tags": F.col("_tags"), "tags_analyzer": F.col("_tags"), **({count: F.col("_count")} if count else {})}
+    return whole.select(*[changed.get(c, F.col("_head")[c]).alias(c) for c in heads.columns if c != "list_part"])
+
+
+def _long_lists(df: DataFrame, key: str, ids: str, hot_rows: int, hot_share: float = HOT_SHARE) -> list[Row]:
+    """Parents whose id lists are too long for one task; at most 1 / hot_share of them, as for `hot_keys`."""
     entries = F.sum(F.size(split_list(ids)))
-    return df.groupBy(key).agg(entries.alias("n")).filter(F.col("n") > hot_rows).collect()
+    long = df.groupBy(key).agg(entries.alias("n")).filter(F.col("n") > hot_rows)
+    if not long.agg(F.count(F.lit(1)).alias("keys")).first()["keys"]:
+        return []
+    floor = max(hot_rows, int(df.agg(entries.alias("n")).first()["n"] * hot_share))
+    return long.filter(F.col("n") > floor).collect()
 
 
 def qa_heads(questions: DataFrame, source: str = "u3danswers") -> DataFrame:
     """Question documents without their answers: scalars, counts, source and tags."""
-    key = ["question_id"] + (["list_part"] if "list_part" in questions.columns else [])
     accept = null_token(F.col("accept_id").cast("string"))
     listed = split_list(F.col("answer_ids"))
     tags = split_list("tags")
     favorite = SOURCES[source]["favorite"]
-    scalars = [*key, "creation_time", "update_time", "score", "view_count", "comment_count", "title", "body",
+    scalars = ["question_id", "list_part", "creation_time", "update_time", "score", "view_count", "comment_count", "title", "body",
                "link", *EXTRA_FIELDS.get(source, ())]
-    return questions.select(
+    heads = questions.select(
         *[c for c in scalars if c in questions.columns],
         accept.isNotNull().alias("is_accepted"),
         F.size(listed).cast("long").alias("answer_count"),
@@ -178,6 +208,7 @@ def qa_heads(questions: DataFrame, source: str = "u3danswers") -> DataFrame:
         tags.alias("tags"),
         tags.alias("tags_analyzer"),
     )
+    return _one_head(heads, "question_id", "answer_count")
 
 
 def build_forum_docs(
@@ -185,10 +216,12 @@ def build_forum_docs(
 ) -> DataFrame:
     """Discussion documents: body of post number 1, else of the last post, and all posts.
 
-    `discussions` holds the comma lists tags and post_ids.  A discussion without posts
-    gives no document.
+    `discussions` holds the comma lists tags and post_ids, in one row or in rows numbered
+    by `list_part`.  A discussion without posts gives no document.
     """
-    wanted = discussions.select("discussion_id", F.posexplode(split_list("post_ids")).alias("pos", "post_id"))
+    if "list_part" in discussions.columns:
+        discussions = cut_lineage(discussions)
+    wanted = _explode_lists(discussions, "discussion_id", split_list("post_ids"))
     fields = ["post_number", "creation_time", "update_time", "body", "is_staff"]
     fields = [f for f in fields if f in posts.columns]
     rows = wanted.withColumn("post_id", as_key("post_id", posts)).join(posts.select("post_id", *fields), "post_id")
@@ -203,11 +236,10 @@ def build_forum_docs(
     )
     heads = parts.groupBy("discussion_id").agg(F.coalesce(F.max("_first"), F.max("_last"))["body"].alias("body"))
     tags = split_list("tags")
-    scalars = [c for c in ("discussion_id", "link", "title", "creation_time", "update_time", "reply_count",
+    scalars = [c for c in ("discussion_id", "list_part", "link", "title", "creation_time", "update_time", "reply_count",
                            "view_count") if c in discussions.columns]
-    heads = discussions.select(
-        *scalars, F.lit(source).alias("source"), tags.alias("tags"), tags.alias("tags_analyzer")
-    ).join(heads, "discussion_id")
+    rows = discussions.select(*scalars, F.lit(source).alias("source"), tags.alias("tags"), tags.alias("tags_analyzer"))
+    heads = _one_head(rows, "discussion_id").join(heads, "discussion_id")
     hot = _long_lists(discussions, "discussion_id", "post_ids", hot_rows)
     return fan_out_join(heads, parts.drop("_first", "_last"), ["discussion_id"], hot)
 

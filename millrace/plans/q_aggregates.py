@@ -18,8 +18,8 @@ def flat(array: str, *fields: str):
 
 
 @query("group_concat", """
-SELECT parent_id, 0::BIGINT AS part, string_agg(answer_id::VARCHAR, ',' ORDER BY post_number) AS answer_ids
-FROM answers GROUP BY 1""", "answers")
+SELECT parent_id, ((post_number - 1) // 1000)::BIGINT AS part, string_agg(answer_id::VARCHAR, ',' ORDER BY post_number) AS answer_ids
+FROM answers GROUP BY 1, 2""", "answers")
 def group_concat(r: Roles):
     return A.concat_children(r.answers, ["parent_id"], "answer_id", ["post_number"], "answer_ids", numbered=True)
 
@@ -39,14 +39,19 @@ def nest_children(r: Roles):
 
 
 @query("qa_document", """
-WITH talk AS (SELECT post_id, string_agg(body, '+' ORDER BY creation_time, comment_id) AS said, count(*) AS n
-              FROM comments GROUP BY 1),
-flat_answers AS (SELECT q.question_id, string_agg(a.body || ':' || a.score || ':' || (coalesce(accept_id = answer_id, false))
-        || ':' || coalesce(said, ''), '|' ORDER BY coalesce(accept_id <> answer_id, true), post_number) AS answers
-      FROM qa q JOIN answers a ON question_id = parent_id LEFT JOIN talk ON answer_id = post_id GROUP BY 1)
-SELECT question_id, 0::BIGINT AS part, accept_id IS NOT NULL AS is_accepted,
+WITH talk AS (SELECT post_id, ((rn - 1) // 1000)::BIGINT AS comment_part, string_agg(body, '+' ORDER BY rn) AS said
+              FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY creation_time, comment_id) AS rn FROM comments)
+              GROUP BY 1, 2),
+placed AS (SELECT question_id, answer_id, a.body, a.score, coalesce(accept_id = answer_id, false) AS accepted,
+                  row_number() OVER (PARTITION BY question_id ORDER BY coalesce(accept_id <> answer_id, true), post_number) - 1 AS pos
+           FROM qa q JOIN answers a ON question_id = parent_id),
+flat_answers AS (SELECT question_id, (pos // 1000)::BIGINT AS part, coalesce(comment_part, 0) AS comment_part,
+                        string_agg(body || ':' || score || ':' || accepted || ':' || coalesce(said, ''), '|' ORDER BY pos) AS answers
+                 FROM placed LEFT JOIN talk ON answer_id = post_id GROUP BY 1, 2, 3)
+SELECT question_id, coalesce(part, 0) AS part, coalesce(comment_part, 0) AS comment_part, accept_id IS NOT NULL AS is_accepted,
        CASE WHEN answer_ids IS NULL THEN 0 ELSE len(string_split(answer_ids, ',')) END::BIGINT AS answer_count,
-       view_count, 'u3danswers' AS source, coalesce(tags, '') AS tags, coalesce(answers, '') AS answers
+       view_count, 'u3danswers' AS source, coalesce(tags, '') AS tags, coalesce(answers, '') AS answers, title, score, link,
+       strftime(update_time, '%Y-%m-%d %H:%M:%S') AS update_time
 FROM qa LEFT JOIN flat_answers USING (question_id) WHERE NOT imported""", "qa comments")
 def qa_document(r: Roles):
     docs = A.build_qa_docs(r.qa.filter("NOT imported"), r.qa_posts, r.comments)
@@ -56,24 +61,23 @@ def qa_document(r: Roles):
         lambda a: F.concat_ws(":", a["body"], a["score"].cast("string"), a["is_accepted"].cast("string"), comments(a)),
     )
     return docs.select(
-        "question_id", "part", "is_accepted", "answer_count", "view_count", "source",
-        F.array_join("tags", ",").alias("tags"), F.array_join(answers, "|").alias("answers"),
+        "question_id", "part", "comment_part", "is_accepted", "answer_count", "view_count", "source",
+        F.array_join("tags", ",").alias("tags"), F.array_join(answers, "|").alias("answers"), "title", "score", "link",
+        format_ts("update_time").alias("update_time"),
     )
 
 
-
-
 @query("forum_document", """
-WITH d AS (SELECT discussion_id, string_agg(post_number || ':' || is_staff || ':' || md5(body), '|' ORDER BY post_number)
-      AS posts, min(post_number) AS first, arg_max(body, post_number) AS last_body,
-      arg_min(body, post_number) AS first_body, min(post_id) AS first_id FROM posts
-      GROUP BY 1)
-SELECT discussion_id, 0::BIGINT AS part, 'forum,' || first_id AS tags, posts,
-       CASE WHEN first = 1 THEN first_body ELSE last_body END AS body FROM d
-UNION ALL SELECT o.discussion_id, 0, 'forum,' || min(o.post_id), string_agg((post_number + 1) || ':' || is_staff || ':' ||
-       md5(body), '|' ORDER BY post_number), arg_max(body, post_number)
-FROM (SELECT discussion_id + 1000000 AS discussion_id, post_id + 100000000 AS post_id, post_number, is_staff, body
-      FROM posts) AS o GROUP BY 1""", "posts")
+WITH p AS (SELECT *, ((row_number() OVER (PARTITION BY discussion_id ORDER BY post_number) - 1) // 1000)::BIGINT AS part FROM posts),
+d AS (SELECT discussion_id, min(post_number) AS first, arg_max(body, post_number) AS last_body,
+             arg_min(body, post_number) AS first_body, min(post_id) AS first_id FROM posts GROUP BY 1),
+n AS (SELECT discussion_id, part, string_agg(post_number || ':' || is_staff || ':' || md5(body), '|' ORDER BY post_number) AS posts,
+             string_agg((post_number + 1) || ':' || is_staff || ':' || md5(body), '|' ORDER BY post_number) AS later_posts
+      FROM p GROUP BY 1, 2)
+SELECT discussion_id, part, 'forum,' || first_id AS tags, posts, CASE WHEN first = 1 THEN first_body ELSE last_body END AS body
+FROM n JOIN d USING (discussion_id)
+UNION ALL SELECT discussion_id + 1000000, part, 'forum,' || (first_id + 100000000), later_posts, last_body
+FROM n JOIN d USING (discussion_id)""", "posts")
 def forum_document(r: Roles):
     # Every thread once as it is, and once without a post number 1.
     shifted = r.posts.select(
@@ -82,8 +86,8 @@ def forum_document(r: Roles):
     )
     posts = r.posts.unionByName(shifted)
     ids = A.concat_children(posts, ["discussion_id"], "post_id", ["post_number"], "post_ids", numbered=True)
-    tags = F.concat(F.lit("forum,"), F.element_at(F.split("post_ids", ","), 1))
-    docs = A.build_forum_docs(ids.select("discussion_id", "post_ids", tags.alias("tags")), posts)
+    tags = F.when(F.col("part") == 0, F.concat(F.lit("forum,"), F.element_at(F.split("post_ids", ","), 1)))
+    docs = A.build_forum_docs(ids.select("discussion_id", "post_ids", tags.alias("tags"), F.col("part").alias("list_part")), posts)
     posts_text = F.array_join(
         F.transform("posts", lambda p: F.concat_ws(":", p["post_number"].cast("string"), p["is_staff"].cast("string"),
                                                    F.md5(p["body"]))), "|")

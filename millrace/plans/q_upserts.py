@@ -28,8 +28,9 @@ def union_sources(r: Roles):
         questions = rows.filter(condition).withColumn(A.SOURCES[source]["favorite"], favorite)
         docs.append(A.qa_heads(questions, source).withColumnRenamed("question_id", "id"))
     ids = A.concat_children(r.posts, ["discussion_id"], "post_id", ["post_number"], "post_ids", numbered=True)
-    forum = A.build_forum_docs(ids.withColumn("tags", F.lit("forum")), r.posts)
-    docs.append(forum.filter("part = 0").withColumnRenamed("discussion_id", "id"))
+    lists = ids.select("discussion_id", "post_ids", F.when(F.col("part") == 0, "forum").alias("tags"), F.col("part").alias("list_part"))
+    forum = A.build_forum_docs(lists, r.posts).select("discussion_id", "source").distinct()  # one row for all parts
+    docs.append(forum.withColumnRenamed("discussion_id", "id"))
     return A.union_docs(*docs).select("id", "source", "favorite_count", "section")
 
 

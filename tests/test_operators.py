@@ -16,6 +16,7 @@ from millrace.operators import reports as Q
 from millrace.operators import upserts as U
 from millrace.operators.assign import assign_articles
 from millrace.operators.steps import compose
+from millrace.sources import records
 
 
 def rows(df, *columns):
@@ -219,6 +220,31 @@ def test_large_documents_come_in_parts(spark, posts):
     assert said == ["c1", "c2", "c3", "c4", "c5"]
 
 
+def test_lists_in_several_rows_are_one_list(spark):
+    n, chunk = 2_500, 1_000
+    posts = spark.range(1, n + 1).select(
+        F.col("id").alias("post_id"), F.lit("2020-01-01").cast("timestamp_ntz").alias("creation_time"), F.lit(0).alias("score"),
+        F.concat(F.lit("b"), "id").alias("body"), F.col("id").alias("post_number"), F.lit(1).cast("long").alias("parent"))
+    lists = A.concat_children(posts, ["parent"], "post_id", ["post_number"], "ids", chunk, numbered=True)
+    lists = lists.withColumnRenamed("part", "list_part")
+    asked = lists.select(F.col("parent").alias("question_id"), "list_part", F.lit("1700").alias("accept_id"), F.col("ids").alias("answer_ids"),
+                         F.when(F.col("list_part") == 0, "a,b").otherwise("c").alias("tags"))
+    comments = spark.range(1, n + 1).select(F.col("id").alias("comment_id"), F.lit(1700).cast("long").alias("post_id"),
+                                            F.concat(F.lit("c"), "id").alias("body"), F.lit("2020-01-01").cast("timestamp_ntz").alias("creation_time"))
+    docs = A.build_qa_docs(asked, posts, comments, chunk=chunk).withColumn("key", records.doc_key("question_id"))
+    docs = docs.orderBy("part", "comment_part").collect()
+    assert [(r["key"], r["part"], r["comment_part"]) for r in docs] == [
+        ("1", 0, 0), ("1-0-1", 0, 1), ("1-0-2", 0, 2), ("1-1-0", 1, 0), ("1-2-0", 2, 0)]
+    assert {(r["answer_count"], r["is_accepted"], ",".join(r["tags"])) for r in docs} == {(n, True, "a,b,c,c")}
+    listed = [a["body"] for r in docs if r["comment_part"] == 0 for a in r["answers"]]
+    assert listed == ["b1700", *(f"b{i}" for i in range(1, n + 1) if i != 1700)]
+    assert [c["body"] for r in docs for a in r["answers"] for c in a["comments"]] == [f"c{i}" for i in range(1, n + 1)]
+    threads = lists.select(F.col("parent").alias("discussion_id"), "list_part", F.col("ids").alias("post_ids"), F.lit("t").alias("tags"))
+    forum = A.build_forum_docs(threads, posts, chunk=chunk).orderBy("part").collect()
+    assert [(r["part"], len(r["posts"]), r["body"]) for r in forum] == [(0, 1_000, "b1"), (1, 1_000, "b1"), (2, 500, "b1")]
+    assert [p["post_number"] for r in forum for p in r["posts"]] == list(range(1, n + 1))
+
+
 def test_documents_of_hot_parents_are_the_same(spark, posts):
     q = questions(spark, [(1, "3", "1,2,3,99", "a,b"), (2, "NULL", "4", ""), (3, "5", "98,99,97", None), (4, "", "", "t")])
     cold, hot = A.build_qa_docs(q, posts, chunk=2), A.build_qa_docs(q, posts, chunk=2, hot_rows=2)
