@@ -8,9 +8,11 @@ each, in one order for all: only this prefix is joined, the `MATCHES - 1` most f
 Each list has a hub, the most central of its nodes: the one whose pairs are the most frequent, as those of the original
 among its copies.  In a round each node meets one hub, the most central of those of its lists that are in other
 components, so candidates never outnumber the nodes.  Candidates with enough matching coordinates are confirmed on their
-full sets, links are joined to components, and only lists that still hold several components go on.
-When what is left is small, or after `HUB_ROUNDS`, each node meets every node of other components in its lists, which
-is exact for the rest.
+full sets, links are joined to components, and only lists that still hold several components go on.  Copies whose original
+is not there have no central node: from the second round on the hub of a list is drawn by a hash, and each node meets the hub
+that most of its lists have.
+When what is left is small, or a round after the first `HUB_ROUNDS` has not halved it, each node meets every node of other
+components in its lists, each pair in one of the lists they share, which is exact for the rest.
 
 Two exact bounds keep unlike candidates from the full sets: linked sets differ in size by a quarter at most, and in at
 most a seventh of their summed sizes as elements; a sketch of one parity bit for each of 1,024 hash values differs in no
@@ -109,17 +111,34 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    """(`node`, `token`, `central`): the prefix of each node's pairs, rarest first, without pairs that no other node has.
+    """(`node`, `token`, `central`, `places`): the prefix of each node's pairs, rarest first, without pairs that no other
+    node has.
 
-    `central` sums how often the node's pairs occur."""
+    `central` sums how often the node's pairs occur; `places` has a bit for each coordinate of the prefix."""
     tokens = nodes.select("node", F.posexplode("signature").alias("c", "v"))
     tokens = tokens.select("node", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("v").cast("long")).alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     ordered = tokens.join(often, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"))
     length = COORDINATES - MATCHES + 1 - (COORDINATES - F.size("own"))  # pairs of this node alone come first
     central = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + x["n"])
-    prefix = ordered.where(length > 0).select("node", central.alias("central"), F.explode(F.slice("own", F.lit(1), length)).alias("x"))
-    return prefix.select("node", F.col("x.token").alias("token"), "central")
+    prefix = ordered.where(length > 0).select("node", central.alias("central"), F.slice("own", F.lit(1), length).alias("own"))
+    places = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), _coordinate(x["token"]))))
+    prefix = prefix.select("node", "central", places.alias("places"), F.explode("own").alias("x"))
+    return prefix.select("node", F.col("x.token").alias("token"), "central", "places")
+
+
+def _coordinate(token: Column) -> Column:
+    """The coordinate of a pair; its value is signed."""
+    return F.shiftright(token + 2**31, 32).cast("int")
+
+
+def _first_shared(a: str, b: str) -> Column:
+    """The first coordinate in which the nodes in the structs `a` and `b` are posted together."""
+    shared = F.col(f"{a}.places").bitwiseAND(F.col(f"{b}.places"))
+    agree = F.zip_with(f"{a}.signature", f"{b}.signature", lambda x, y: x == y)
+    at = F.transform(agree, lambda e, i: e & (F.call_function("shiftright", shared, i).bitwiseAND(F.lit(1).cast("long")) == 1))
+    return F.array_position(at, True) - 1
 
 
 def _alike(a: str, b: str) -> Column:
@@ -185,17 +204,23 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         work = sizes.agg(F.sum((F.col("size") * F.col("size") - F.col("squares")) / 2).alias("pairs"), F.sum("size").alias("rows")).first()
         if not work["rows"]:
             break
-        last = work["pairs"] <= FEW * work["rows"] or rounds >= HUB_ROUNDS or work["pairs"] == before
+        last = work["pairs"] <= FEW * work["rows"] or (rounds >= HUB_ROUNDS and 2 * work["pairs"] > before)
         before, rounds = work["pairs"], rounds + 1
         if last:
-            whole = left.join(nodes, "node").select("token", "node", "root", F.struct("n", "parity", "signature").alias("sketch"))
+            whole = left.join(nodes, "node").select("token", "node", "root", F.struct("n", "parity", "signature", "places").alias("sketch"))
             a, b = (whole.select("token", F.col("node").alias(x), F.col("root").alias(f"root_{x}"), F.col("sketch").alias(f"sketch_{x}"))
                     for x in "ab")
-            met = a.join(b, (a["token"] == b["token"]) & (F.col("root_a") < F.col("root_b")) & _alike("sketch_a", "sketch_b"))
-            likely = cut_lineage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            met = a.join(b, (a["token"] == b["token"]) & (F.col("root_a") < F.col("root_b")) & _alike("sketch_a", "sketch_b")
+                         & (_first_shared("sketch_a", "sketch_b") == _coordinate(a["token"])))
+            likely = cut_lineage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         else:
-            hubs = left.groupBy("token").agg(F.max(F.struct("central", "node", "root")).alias("hub"))
-            met = left.join(hubs, "token").where(F.col("hub.root") != F.col("root")).groupBy("node").agg(F.max("hub").alias("hub"))
+            rank = F.col("central") if rounds == 1 else F.xxhash64("node", F.lit(rounds))
+            hubs = left.groupBy("token").agg(F.max(F.struct(rank.alias("rank"), "node", "root")).alias("hub"))
+            met = left.join(hubs, "token").where(F.col("hub.root") != F.col("root"))
+            if rounds > 1:
+                met = met.groupBy("node", "hub").agg(F.count("*").alias("lists")).select(
+                    "node", F.struct("lists", F.col("hub.rank").alias("rank"), F.col("hub.node").alias("node")).alias("hub"))
+            met = met.groupBy("node").agg(F.max("hub").alias("hub"))
             pairs = met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
             likely = cut_lineage(_matching(pairs, nodes))
         links = cut_lineage(links.union(_confirmed(likely, places, keyed, text)))
