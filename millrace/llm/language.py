@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,28 +46,23 @@ def words_of(text: str) -> list[str]:
 
 
 class Pieces:
-    """The vocabulary: piece -> index, and all that a piece can begin with."""
+    """The vocabulary: piece -> index, and an automaton that finds all pieces of a word."""
 
     def __init__(self, pieces: Iterable[str]):
         self.index = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
-        self.starts = {p[:n] for p in self.index for n in range(1, len(p) + 1)}
+        self.letters = {p for p in self.index if len(p) == 1}
         self.stray = len(self.index)  # the index of letters that no piece covers
+        self.finder = ahocorasick.Automaton()
+        for p, i in self.index.items():
+            self.finder.add_word(p, (len(p), i))
+        self.finder.make_automaton()
 
     def edges(self, word: str) -> list[tuple[int, int, int]]:
-        """All (start, end, piece) of the word, by start; a stray letter is a piece of its own."""
-        found, n = [], len(word)
-        index, starts = self.index, self.starts
-        for i in range(n):
-            single = False
-            for j in range(i + 1, n + 1):
-                part = word[i:j]
-                if part not in starts:
-                    break
-                if part in index:
-                    found.append((i, j, index[part]))
-                    single |= j == i + 1
-            if not single:
-                found.append((i, i + 1, self.stray))
+        """All (start, end, piece) of the word, by end; a stray letter is a piece of its own."""
+        found = [(end + 1 - size, end + 1, piece) for end, (size, piece) in self.finder.iter(word)] if self.index else []
+        if not self.letters.issuperset(word):
+            found += [(i, i + 1, self.stray) for i, x in enumerate(word) if x not in self.letters]
+            found.sort(key=lambda edge: edge[1])
         return found
 
 
@@ -203,7 +199,7 @@ class Scorer:
 
     def _learn(self, token: str) -> None:
         known = [self.words[w] if w in self.words else self._word(w) for w in words_of(token)]
-        row = sum(known) if known else 0.0
+        row = known[0] if len(known) == 1 else sum(known) if known else 0.0
         at = self.at[token] = len(self.at)
         if at == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
