@@ -152,6 +152,11 @@ def register_rule_fn(rule: str, field: str, fn: RuleFunction) -> None:
     _RULE_FUNCTIONS[rule, field] = fn
 
 
+def remove_rule_fn(rule: str, field: str) -> None:
+    """Take back what `register_rule_fn` set; expressions made so far keep it."""
+    _RULE_FUNCTIONS.pop((rule, field), None)
+
+
 def apply_rule_fn(rule: Column | str, field: str, texts: Column | str) -> Column:
     """Extracted texts to one value: the rule's own function, else `join_texts`."""
     rule, texts = col(rule), col(texts)

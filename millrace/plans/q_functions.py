@@ -164,15 +164,17 @@ def rule_function(r: Roles):
     return r.questions.select("question_id", T.apply_rule_fn(rule, "publish_time", texts).alias("publish_time"))
 
 
-T.register_rule_fn("fr", "title", lambda texts: F.concat(F.lit("FR: "), F.get(texts, 0)))
-
-
 @query("rule_udf_registry", f"""
 SELECT doc_id, CASE WHEN category = 'fr' THEN 'FR: ' || title ELSE {sql_strip("title || chr(10) || category")} END AS title
 FROM articles""", "articles")
 def rule_udf_registry(r: Roles):
     texts = F.array("title", "category")
-    return r.articles.select("doc_id", T.apply_rule_fn("category", "title", texts).alias("title"))
+    T.register_rule_fn("fr", "title", lambda found: F.concat(F.lit("FR: "), F.get(found, 0)))
+    try:
+        title = T.apply_rule_fn("category", "title", texts)
+    finally:
+        T.remove_rule_fn("fr", "title")
+    return r.articles.select("doc_id", title.alias("title"))
 
 
 @query("parse_dates", f"""
