@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.paging import top_n
-from millrace.operators.skew import with_position
+from millrace.operators.skew import lookup_join, with_position
 
 
 def assign_articles(
@@ -22,4 +22,4 @@ def assign_articles(
     digest = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.col(key))), 1, 15), 16, 10).cast("long")
     ranked = with_position(accounts.select("account_id"), [], ["account_id"], "_place")
     picked = articles.withColumn("_place", F.pmod(digest, size) + 1)
-    return picked.join(ranked, "_place").drop("_place")
+    return lookup_join(picked, ranked, ["_place"]).drop("_place")

@@ -183,12 +183,19 @@ def lookup_join(
     """Join rows to a table with at most one row per key.
 
     Rows of hot keys meet a broadcast of just those keys' lookup rows (bounded, as
-    `right` is unique on `on`); all others take the ordinary shuffled join.
+    `right` is unique on `on`); all others take the ordinary shuffled join.  A hot null key
+    finds nothing: a left join answers its rows without a shuffle.
     """
     on = list(on)
     if hot is None:
         hot = hot_keys(left, on, hot_rows, hot_share)
-    hot = [r for r in hot if all(r[k] is not None for k in on)]
+    nulls = [r for r in hot if any(r[k] is None for k in on)]
+    if nulls and how == "left":
+        no_key = F.greatest(*[F.col(k).isNull() for k in on]) if len(on) > 1 else F.col(on[0]).isNull()
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in right.schema if f.name not in on}
+        rest = lookup_join(left.where(~no_key), right, on, how, hot=[r for r in hot if r not in nulls])
+        return rest.unionByName(left.where(no_key).withColumns(missing))
+    hot = [r for r in hot if r not in nulls]
     if not hot:
         return left.join(right, on, how)
     names = left.sparkSession.createDataFrame(

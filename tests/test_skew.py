@@ -62,3 +62,14 @@ def test_broadcast_only_when_small(spark):
     assert skew.small_enough(spark.range(5), 5) is not None
     big = spark.range(6)
     assert skew.small_enough(big, 5) is big
+
+
+def test_hot_null_key_of_a_left_join_is_not_shuffled(spark):
+    left = spark.createDataFrame([(None, i) for i in range(50)] + [(k, 100 + k) for k in range(5)], "k long, v long")
+    right = spark.createDataFrame([(k, f"n{k}") for k in range(3)], "k long, name string")
+    plain = left.join(right, ["k"], "left")
+    split = skew.lookup_join(left, right, ["k"], "left", hot_rows=10, hot_share=0.1)
+    assert split.columns == plain.columns
+    assert sorted(split.collect(), key=str) == sorted(plain.collect(), key=str)
+    inner = skew.lookup_join(left, right, ["k"], hot_rows=10, hot_share=0.1)
+    assert sorted(inner.collect()) == sorted(left.join(right, ["k"]).collect())
