@@ -5,7 +5,7 @@ with the first holder (by id); a rare line, of up to `rare` holders, also pairs
 shared line proposes pairs, as many as it has holders, and no frequent line proposes the square of them.  Pairs are
 aligned by patience diff: lines unique in both are anchors, the longest rising run of them is kept, and the stretches
 between are aligned the same way.  Blocks of neighbouring common lines with at least `min_words` words are deleted
-from the later document.  The first holder of a line is never the later document for it, so a line never
+from the later document, and what is left of it is compared again, in any order, until no such block is common.  The first holder of a line is never the later document for it, so a line never
 vanishes from all its holders.
 
 Null texts stay null, empty ones empty; null ids rank last.  Documents that share an id are not compared with each
@@ -17,6 +17,7 @@ replaces one of the same name.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter
 
@@ -81,18 +82,76 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[int]:
-    """Places in `b` of the aligned blocks that are long enough."""
-    out, block = [], []
+def windows(lines: list[int], words: list[int], min_words: int) -> dict[tuple[int, int], int]:
+    """(start, end) and hash of the shortest runs from each line with words on, and up to each, that have `min_words`.
+
+    A longer run is covered by those within it, but for lines without words; equal runs have equal hashes in all documents.
+    """
+    least, found, end, size = max(1, min_words), set(), 0, 0
+    for start, n in enumerate(words):
+        while end < len(words) and size < least:
+            size, end = size + words[end], end + 1
+        if size < least:
+            break
+        if n:
+            found.add((start, end))
+        size -= n
+    start = size = 0
+    for end, n in enumerate(words, 1):
+        size += n
+        while size - words[start] >= least:
+            size, start = size - words[start], start + 1
+        if n and size >= least:
+            found.add((start, end))
+    return {(x, y): lines[x] if y == x + 1 else xxhash.xxh64_intdigest(array("q", lines[x:y]).tobytes()) - 2**63 for x, y in found}
+
+
+def aligned_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> set[int]:
+    """Places in `b` of the blocks of the patience diff that are long enough."""
+    out, block = set(), []
     for i, j in [*patience(a, b), (-1, -1)]:
         if block and (i, j) != (block[-1][0] + 1, block[-1][1] + 1):
             if sum(words[y] for _, y in block) >= min_words:
-                out += [y for _, y in block]
+                out.update(y for _, y in block)
             block = []
         block.append((i, j))
     return out
 
 
+def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[int]:
+    """Places in `b` of the blocks that `a` holds too: those aligned, and what is left is compared again until none is long enough.
+
+    Blocks that no alignment finds (second copies, crossing order) are found by their windows.
+    """
+    left, sizes, held = list(range(len(b))), dict(zip(b, words)), None
+    in_a = set(a)
+    while left:
+        lines, counts = [b[y] for y in left], [words[y] for y in left]
+        size = most = 0
+        for x, n in zip(lines, counts):
+            size = size + n if x in in_a else 0
+            most = max(most, size)
+        if most < min_words:
+            break
+        gone = aligned_blocks(a, lines, counts, min_words)
+        if held is None:  # runs of `a` with a line that `b` has not cannot match
+            held = {h for x, y in stretches(a, sizes) for h in windows(a[x:y], [sizes[z] for z in a[x:y]], min_words).values()}
+        for (x, y), h in windows(lines, counts, min_words).items():
+            if h in held:
+                gone.update(range(x, y))
+        if not gone:
+            break
+        left = [y for at, y in enumerate(left) if at not in gone]
+    kept = set(left)
+    return [y for y in range(len(b)) if y not in kept]
+
+
+def stretches(a: list[int], known: dict) -> list[tuple[int, int]]:
+    """(start, end) of the longest stretches of `a` of known lines."""
+    edges = [-1, *(i for i, x in enumerate(a) if x not in known), len(a)]
+    return [(x + 1, y) for x, y in zip(edges, edges[1:]) if y > x + 1]
+
+
 def document_pairs(lines: DataFrame, rare: int) -> DataFrame:
     """(`earlier`, `later`) keys of documents that share a telling line; `lines` has (line, key).
 

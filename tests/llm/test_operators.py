@@ -203,6 +203,24 @@ def test_common_lines_leave_the_later_document(spark, odd, none):
     assert sorted(str(r["text"]) for r in line_dedup.remove_common_lines(odd).collect()) == sorted(str(t) for _, t in ODD)
 
 
+def test_second_copies_and_crossing_blocks_go():
+    s, u, p, q, r = range(5)
+    assert line_dedup.common_blocks([s, u], [p, s, q, s, r], [9] * 5, 8) == [1, 3]
+    assert line_dedup.common_blocks([s, u, p], [p, u, q, s], [9] * 4, 8) == [0, 1, 3]
+    assert line_dedup.common_blocks([s, u, p], [u, s, p], [4, 8, 4], 8) == [0, 1, 2]  # what is left is neighbouring
+    rng = random.Random(8)
+    for _ in range(500):  # no alignment: each run of both, by trying all
+        size = [rng.randint(0, 9) for _ in range(6)]
+        a, b = ([rng.randrange(6) for _ in range(rng.randint(0, 9))] for _ in "ab")
+        left = b
+        while runs := [(x, y) for x in range(len(left)) for y in range(x + 1, len(left) + 1) if sum(size[z] for z in left[x:y]) >= 8
+                       and any(a[i:i + y - x] == left[x:y] for i in range(len(a)))]:
+            left = [z for i, z in enumerate(left) if not any(x <= i < y for x, y in runs)]
+        gone = line_dedup.common_blocks(a, b, [size[z] for z in b], 8)
+        kept = [z for i, z in enumerate(b) if i not in gone]
+        assert [z for z in kept if size[z]] == [z for z in left if size[z]]
+
+
 def test_repeated_passages_are_cut_with_offsets(spark, odd, none):
     rng = random.Random(5)
     passage = ". ".join(prose(rng, 9) for _ in range(7)) + "."
