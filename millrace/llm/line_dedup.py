@@ -1,8 +1,10 @@
 """Line dedup by pairwise alignment of documents that share lines.
 
-Lines are normalised (lower case, words only) and hashed.  A line of at least four words pairs each of its holders
-with the first holder (by id); a rare line, of up to `rare` holders, also pairs its holders with each other.  So every
-shared line proposes pairs, as many as it has holders, and no frequent line proposes the square of them.  Pairs are
+Lines are normalised (lower case, words only) and hashed.  A line of at least four words, and each shortest run of
+neighbouring lines that has `min_words` words, pairs each of its holders with its first holder (by id); a rare one, of
+up to `rare` holders, also pairs its holders with each other.  So every shared line or run proposes pairs, as many as it
+has holders, and no frequent one proposes the square of them.  A shared block is covered by such runs, and each is met
+in its own first holder, so that a block is found whatever the first holders of its single lines are.  Pairs are
 aligned by patience diff: lines unique in both are anchors, the longest rising run of them is kept, and the stretches
 between are aligned the same way.  Blocks of neighbouring common lines with at least `min_words` words are deleted
 from the later document, and what is left of it is compared again, in any order, until no such block is common.  The first holder of a line is never the later document for it, so a line never
@@ -106,6 +108,11 @@ def windows(lines: list[int], words: list[int], min_words: int) -> dict[tuple[in
     return {(x, y): lines[x] if y == x + 1 else xxhash.xxh64_intdigest(array("q", lines[x:y]).tobytes()) - 2**63 for x, y in found}
 
 
+def proposals(lines: list[int], words: list[int], min_words: int) -> list[int]:
+    """Hashes of the telling lines, and of the shortest runs of `min_words` words."""
+    return list({h for h, n in zip(lines, words) if n >= TELLING}.union(windows(lines, words, min_words).values()))
+
+
 def aligned_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> set[int]:
     """Places in `b` of the blocks of the patience diff that are long enough."""
     out, block = set(), []
@@ -153,7 +160,7 @@ def stretches(a: list[int], known: dict) -> list[tuple[int, int]]:
 
 
 def document_pairs(lines: DataFrame, rare: int) -> DataFrame:
-    """(`earlier`, `later`) keys of documents that share a telling line; `lines` has (line, key).
+    """(`earlier`, `later`) keys of documents that share a telling line or run; `lines` has (line, key).
 
     The shared lines are a table, so that Spark can split the join at a line which very many documents hold.
     """
@@ -173,14 +180,14 @@ def remove_common_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     def hashes():
         def run(batch):
             both = [hashed_lines(t or "") for t in batch.column(text).to_pylist()]
-            return [[h for h, _ in both], [n for _, n in both]]
+            return [[h for h, _ in both], [n for _, n in both], [proposals(h, n, min_words) for h, n in both]]
 
         return run
 
     keyed = with_key(docs.select(key, text), key, text)
-    bodies = cut_lineage(add_columns(keyed, hashes, "lines array<long>, words array<int>").select(KEY, HASH, "lines", "words"))
-    each = bodies.select(F.col(KEY).alias("key"), F.explode(F.arrays_zip("lines", "words")).alias("x"))
-    telling = each.where(F.col("x.words") >= TELLING).select("key", F.col("x.lines").alias("line")).distinct()
+    bodies = cut_lineage(add_columns(keyed, hashes, "lines array<long>, words array<int>, telling array<long>")
+                         .select(KEY, HASH, "lines", "words", "telling"))
+    telling = bodies.select(F.col(KEY).alias("key"), F.explode("telling").alias("line")).distinct()
     pairs = document_pairs(telling, rare)
     later = bodies.select(F.col(KEY).alias("later"), F.col(HASH).alias("tag"), F.col("lines").alias("b"), "words")
     earlier = bodies.select(F.col(KEY).alias("earlier"), F.col("lines").alias("a"))

@@ -221,6 +221,16 @@ def test_second_copies_and_crossing_blocks_go():
         assert [z for z in kept if size[z]] == [z for z in left if size[z]]
 
 
+def test_blocks_are_met_whatever_the_first_holders_of_their_lines(spark):
+    one, two = "five words of line one", "five words of line two"
+    docs = [(0, f"{one}\nalpha"), (1, f"{two}\nbeta"), *[(i, f"own{i}\n{one}\n{two}\nlast{i}") for i in range(3, 20)]]
+    verse = "\n".join(f"verse {i}" for i in range(20))
+    docs += [(30, f"{verse}\nthirty"), (31, f"thirty one\n{verse}")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_common_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[i] == t for i, t in docs if i in (0, 1, 3, 30)) and got[31] == "thirty one"
+    assert all(got[i] == f"own{i}\nlast{i}" for i in range(4, 20))
+
+
 def test_repeated_passages_are_cut_with_offsets(spark, odd, none):
     rng = random.Random(5)
     passage = ". ".join(prose(rng, 9) for _ in range(7)) + "."
