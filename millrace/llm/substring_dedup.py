@@ -2,9 +2,8 @@
 
 A unit is a sentence within a line: it ends with the line or behind `.`, `!` or `?` before white space.  Units are
 normalised (lower case, words only, single spaces) and hashed to 128 bits.  Digests are grouped over all documents; a
-unit is a repeat if a document with a smaller id holds it, or its own document did before.  Runs of neighbouring
-repeats of at least `min_words` words are removed; units of fewer than three words never decide, they go with the
-repeats on both sides of them.  Removed spans are kept with their offsets in the original text.
+unit is a repeat if a document with a smaller id holds it, or its own document did before.  Every
+repeat is removed; units of fewer than three words never decide, they go with the repeats on both sides of them.  Removed spans are kept with their offsets in the original text.
 
 Null texts stay null and empty ones empty.  Null ids rank last.  Documents that share an id share a rank: what they
 have in common stays in each.  Rows that agree in id and text are one document.  Very long texts are bounded by their
@@ -23,8 +22,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import HASH, KEY, add_columns, with_key
 from millrace.session import cut_lineage
 
-MIN_WORDS = 20
 TELLING = 3  # words of a unit that is hashed
+MIN_WORDS = TELLING  # words of neighbouring repeats that go
 UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?!\s|\Z)[^\n.!?]*)*(?:[.!?]+[^\S\n]*\n?|\n|\Z)")
 WORD = re.compile(r"\w+")
 TAG_BITS, PLACE_BITS = 28, 32

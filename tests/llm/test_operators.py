@@ -249,6 +249,13 @@ def test_repeated_passages_are_cut_with_offsets(spark, odd, none):
     assert {(r["doc_id"], r["text"]) for r in kept} == set(ODD)
 
 
+def test_every_repeat_goes(spark):
+    docs = [(1, "Sign up for news.\nFirst own words here. A shared one stands inside.\nbye"),
+            (2, "Some new words stand.\nSign up for news.\nOther words follow now. A shared one stands inside. The last new words.")]
+    got = dict(substring_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "text").collect())
+    assert got == {1: docs[0][1], 2: "Some new words stand.\nOther words follow now. The last new words."}
+
+
 def test_units_cover_the_text():
     rng = random.Random(6)
     for _ in range(300):
