@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -11,6 +12,9 @@ from pyspark.sql import types as T
 
 HASH = "__hash"
 KEY = "__key"
+_UNSPACED = "\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+#: A word; where a script sets no spaces (Chinese, Japanese), two characters count as one.
+WORD = re.compile(rf"[{_UNSPACED}]{{1,2}}|[^\W{_UNSPACED}]+")
 
 
 class Cache(dict):

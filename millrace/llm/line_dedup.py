@@ -1,6 +1,6 @@
 """Line dedup by pairwise alignment of documents that share lines.
 
-Lines are normalised (lower case, words only) and hashed.  A line of at least four words, and each shortest run of
+Lines are normalised (lower case, words only) and hashed; where a script sets no spaces, two characters count as a word.  A line of at least four words, and each shortest run of
 neighbouring lines that has `min_words` words, pairs each of its holders with its first holder (by id); a rare one, of
 up to `rare` holders, also pairs its holders with each other.  So every shared line or run proposes pairs, as many as it
 has holders, and no frequent one proposes the square of them.  A shared block is covered by such runs, and each is met
@@ -18,7 +18,6 @@ replaces one of the same name.
 
 from __future__ import annotations
 
-import re
 from array import array
 from bisect import bisect_left
 from collections import Counter
@@ -28,13 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import HASH, KEY, add_columns, with_key
+from millrace.llm.common import HASH, KEY, WORD, add_columns, with_key
 from millrace.session import cut_lineage
 
 TELLING = 4
 RARE = 4
 MIN_WORDS = 8
-WORD = re.compile(r"\w+")
 
 
 def hashed_lines(text: str) -> tuple[list[int], list[int]]:
@@ -84,12 +82,12 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def windows(lines: list[int], words: list[int], min_words: int) -> dict[tuple[int, int], int]:
-    """(start, end) and hash of the shortest runs from each line with words on, and up to each, that have `min_words`.
+def shortest_runs(words: list[int], least: int) -> list[tuple[int, int]]:
+    """(start, end) of the shortest runs of at least `least` words: from each line with words on, and up to each.
 
-    A longer run is covered by those within it, but for lines without words; equal runs have equal hashes in all documents.
+    Any longer run is covered by those within it, but for lines without words.
     """
-    least, found, end, size = max(1, min_words), set(), 0, 0
+    least, found, end, size = max(1, least), set(), 0, 0
     for start, n in enumerate(words):
         while end < len(words) and size < least:
             size, end = size + words[end], end + 1
@@ -105,7 +103,13 @@ def windows(lines: list[int], words: list[int], min_words: int) -> dict[tuple[in
             size, start = size - words[start], start + 1
         if n and size >= least:
             found.add((start, end))
-    return {(x, y): lines[x] if y == x + 1 else xxhash.xxh64_intdigest(array("q", lines[x:y]).tobytes()) - 2**63 for x, y in found}
+    return sorted(found)
+
+
+def windows(lines: list[int], words: list[int], min_words: int) -> dict[tuple[int, int], int]:
+    """The hashes of the shortest runs; equal runs have equal ones in all documents."""
+    return {(x, y): lines[x] if y == x + 1 else xxhash.xxh64_intdigest(array("q", lines[x:y]).tobytes()) - 2**63
+            for x, y in shortest_runs(words, min_words)}
 
 
 def proposals(lines: list[int], words: list[int], min_words: int) -> list[int]:

@@ -1,9 +1,11 @@
 """Substring dedup by hashing units: of each unit that several places share, the earliest stays.
 
-A unit is a sentence within a line: it ends with the line or behind `.`, `!` or `?` before white space.  Units are
-normalised (lower case, words only, single spaces) and hashed to 128 bits.  Digests are grouped over all documents; a
-unit is a repeat if a document with a smaller id holds it, or its own document did before.  Every
-repeat is removed; units of fewer than three words never decide, they go with the repeats on both sides of them.  Removed spans are kept with their offsets in the original text.
+A unit is a sentence within a line: it ends with the line, behind `.`, `!` or `?` before white space, or behind an
+ideographic full stop or a wide `!` or `?`.  Units are normalised (lower case, words only, single spaces) and hashed to
+128 bits.  Units of fewer than `TELLING` words are hashed together: a line that has some as a whole, and of neighbouring
+lines that have no others (lists, verse) the shortest runs with so many words.  Digests are grouped over all documents; a
+unit, line or run is a repeat if a document before holds it, or its own document did before.  Every repeat is removed; a
+small unit between repeats goes with them.  Removed spans are kept with their offsets in the original text.
 
 Null texts stay null and empty ones empty.  Null ids rank last.  Documents that share an id share a rank: what they
 have in common stays in each.  Rows that agree in id and text are one document.  Very long texts are bounded by their
@@ -19,14 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import HASH, KEY, add_columns, with_key
+from millrace.llm.common import HASH, KEY, WORD, add_columns, with_key
+from millrace.llm.line_dedup import shortest_runs
 from millrace.session import cut_lineage
 
 TELLING = 3  # words of a unit that is hashed
 MIN_WORDS = TELLING  # words of neighbouring repeats that go
-UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?!\s|\Z)[^\n.!?]*)*(?:[.!?]+[^\S\n]*\n?|\n|\Z)")
-WORD = re.compile(r"\w+")
-TAG_BITS, PLACE_BITS = 28, 32
+UNIT = re.compile(r"[^\n.!?。！？｡]*(?:[.!?]+(?!\s|\Z)[^\n.!?。！？｡]*)*(?:[.!?]+[^\S\n]*\n?|[。！？｡]+[」』”’）]*[^\S\n]*\n?|\n|\Z)")
 
 
 def units_of(text: str) -> list[tuple[int, int, list[str]]]:
@@ -38,94 +39,120 @@ def digest_of(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words).encode())
 
 
-def _digests(batches):
-    """(key, hash, text) -> (upper, lower half of the digest, key, tag): the first place of each unit in a document.
+def spans_of(text: str, units: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, bytes]]:
+    """(first unit, unit behind the last, digest) of all that is hashed."""
+    spans, lines, first = [], [], 0
 
-    The tag holds bits of the text's hash above the place, to tell documents with one id apart.
-    """
-    names = ["upper", "lower", "key", "tag"]
+    def close():  # the lines without a telling unit
+        sizes = [sum(len(units[k][2]) for k in range(x, y)) for x, y in lines]
+        for x, y in shortest_runs(sizes, TELLING) if lines else ():
+            own = [" ".join(w for k in range(*line) for w in units[k][2]) for line in lines[x:y]]
+            spans.append((lines[x][0], lines[y - 1][1], digest_of(["\n".join(filter(None, own))])))
+        lines.clear()
+
+    for at, (_, end, words) in enumerate(units):
+        if len(words) >= TELLING:
+            spans.append((at, at + 1, digest_of(words)))
+        if end < len(text) and text[end - 1] != "\n":
+            continue
+        sizes = [len(units[k][2]) for k in range(first, at + 1)]
+        if max(sizes) < TELLING:
+            lines.append((first, at + 1))
+        else:
+            close()
+            if any(0 < n < TELLING for n in sizes):
+                spans.append((first, at + 1, digest_of([w for k in range(first, at + 1) for w in units[k][2]])))
+        first = at + 1
+    close()
+    return sorted(spans)
+
+
+def _digests(batches):
+    """(key, hash, text) -> (upper, lower half of the digest, key, document, place): the first place of each digest in a
+    document, as a place among its spans; `document` is the hash."""
+    names = ["upper", "lower", "key", "document", "place"]
+    kinds = [pa.int64()] * 4 + [pa.int32()]
     for batch in batches:
-        upper, lower, keys, tags = [], [], [], []
-        for key, tag, text in zip(*(c.to_pylist() for c in batch.columns)):
-            seen = set()
-            for place, (_, _, words) in enumerate(units_of(text or "")):
-                if len(words) < TELLING:
-                    continue
-                digest = digest_of(words)
+        columns = [[] for _ in names]
+        for key, document, text in zip(*(c.to_pylist() for c in batch.columns)):
+            seen, text = set(), text or ""
+            for place, (_, _, digest) in enumerate(spans_of(text, units_of(text))):
                 if digest not in seen:
                     seen.add(digest)
-                    upper.append(int.from_bytes(digest[:8], "big", signed=True))
-                    lower.append(int.from_bytes(digest[8:], "big", signed=True))
-                    keys.append(key)
-                    tags.append(tag_of(tag) << PLACE_BITS | place)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (upper, lower, keys, tags)], names)
+                    halves = (int.from_bytes(half, "big", signed=True) for half in (digest[:8], digest[8:]))
+                    for column, value in zip(columns, (*halves, key, document, place)):
+                        column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
 
 
-def tag_of(text_hash: int) -> int:
-    return text_hash & (1 << TAG_BITS) - 1
+def repeated_places(spans: list[tuple[int, int, bytes]], places: set[int]) -> set[int]:
+    """The units of the repeats: of spans that documents before hold (`places`), or this one before without a common unit."""
+    first: dict[bytes, int] = {}
+    gone = set()
+    for place, (start, end, digest) in enumerate(spans):
+        at = first.setdefault(digest, place)
+        if at in places or spans[at][1] <= start:
+            gone.update(range(start, end))
+    return gone
 
 
 def repeats_removed(text: str, places: set[int], min_words: int) -> tuple[str, list[dict]]:
     """The text without its runs of repeats, and the spans removed."""
-    seen, kept, removed, run, size = set(), [], [], [], 0
+    kept, removed, run, size = [], [], [], 0
 
     def close():
         nonlocal run, size
-        while run and not run[-1][3]:  # what trails the last repeat stays
+        while run and not run[-1][2]:  # what trails the last repeat stays
             waiting.insert(0, run.pop())
         if run and size >= min_words:
             removed.append({"start": run[0][0], "end": run[-1][1]})
         else:
-            kept.extend(text[s:e] for s, e, _, _ in run)
-        kept.extend(text[s:e] for s, e, _, _ in waiting)
+            kept.extend(text[s:e] for s, e, _ in run)
+        kept.extend(text[s:e] for s, e, _ in waiting)
         waiting.clear()
         run, size = [], 0
 
     waiting: list[tuple] = []
-    for place, (start, end, words) in enumerate(units_of(text)):
-        if len(words) < TELLING:
-            run.append((start, end, 0, False)) if run else kept.append(text[start:end])
-            continue
-        digest = digest_of(words)
-        if place in places or digest in seen:
+    units = units_of(text)
+    gone = repeated_places(spans_of(text, units), places)
+    for place, (start, end, words) in enumerate(units):
+        if place in gone:
             size += len(words)
-            run.append((start, end, len(words), True))
+            run.append((start, end, True))
+        elif len(words) < TELLING:
+            run.append((start, end, False)) if run else kept.append(text[start:end])
         else:
             close()
             kept.append(text[start:end])
-        seen.add(digest)
     close()
     return "".join(kept), removed
 
 
 def repeated_units(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(`key`, `document`, `tags`) of the units that documents before hold: tags of a document's own repeats.
+    """(`key`, `document`, `places`) of the spans that documents before hold; `document` is the hash of the text.
 
-    `document` holds the tag's bits of the text's hash, so that the rows of one id (or of none) are groups of their own.
     The shared units are a table, so that Spark can split the join at a unit which very many documents hold.
     """
     keyed = with_key(docs.select(key, text), key, text)
-    units = keyed.select(KEY, HASH, text).mapInArrow(_digests, "upper long, lower long, key long, tag long")
+    units = keyed.select(KEY, HASH, text).mapInArrow(_digests, "upper long, lower long, key long, document long, place int")
     shared = cut_lineage(units.groupBy("upper", "lower").agg(F.min("key").alias("first"), F.max("key").alias("last"))
                          .where("first < last").select("upper", "lower", "first"))
     later = units.join(shared, ["upper", "lower"]).where("key > first")
-    return later.groupBy("key", F.shiftright("tag", PLACE_BITS).alias("document")).agg(F.collect_list("tag").alias("tags"))
+    return later.groupBy("key", "document").agg(F.collect_list("place").alias("places"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", removed: str = "removed",
                    min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with the repeats cut out of `text`; `removed` lists (start, end) in the original, in code points."""
     columns = [c for c in docs.columns if c != removed]
-    found = repeated_units(docs, key, text).withColumnsRenamed({"key": KEY, "document": "__document", "tags": "__tags"})
-    document = F.col(HASH).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
-    keyed = with_key(docs.select(*columns), key, text).withColumn("__document", document).join(found, [KEY, "__document"], "left")
+    found = repeated_units(docs, key, text).withColumnsRenamed({"key": KEY, "document": HASH, "places": "__places"})
+    keyed = with_key(docs.select(*columns), key, text).join(found, [KEY, HASH], "left")
 
     def make():
         def run(batch):
             texts, spans = [], []
-            for t, tags in zip(*(batch.column(c).to_pylist() for c in (text, "__tags"))):
-                places = {x & (1 << PLACE_BITS) - 1 for x in tags or ()}
-                new, cut = (None, []) if t is None else repeats_removed(t, places, min_words)
+            for t, places in zip(*(batch.column(c).to_pylist() for c in (text, "__places"))):
+                new, cut = (None, []) if t is None else repeats_removed(t, set(places or ()), min_words)
                 texts.append(new)
                 spans.append(cut)
             return [texts, spans]

@@ -256,6 +256,26 @@ def test_every_repeat_goes(spark):
     assert got == {1: docs[0][1], 2: "Some new words stand.\nOther words follow now. The last new words."}
 
 
+def test_texts_without_spaces_and_short_lines(spark):
+    chinese, other = "这一行文字在两个文档中都出现并且相当长", "后面的文档里还有别的一些内容"
+    sentences = "第一个共同的句子在这里。第二个共同的句子也在这里！"
+    names = "\n".join(f"name{i}" for i in range(60))
+    docs = [(1, f"{chinese}\n开头"), (2, f"{other}\n{chinese}"), (3, f"{sentences}只有这里的句子。"), (4, f"不同的一个开头在此。{sentences}"),
+            (5, f"five\n{names}"), (6, f"{names}\nsix six")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dict(line_dedup.remove_common_lines(table).select("doc_id", "text").collect())
+    assert got == dict(docs) | {2: other, 6: "six six"}
+    got = dict(substring_dedup.remove_repeats(table).select("doc_id", "text").collect())
+    assert got == dict(docs) | {2: f"{other}\n", 4: "不同的一个开头在此。", 6: "six six"}
+
+
+def test_own_repeats_keep_the_first_copy():
+    text = "la\nla\nla\nla\nla\nla\n"
+    assert substring_dedup.repeats_removed(text, set(), 3)[0] == "la\nla\nla\n"
+    line = "1. Buy milk and bread\n"
+    assert substring_dedup.repeats_removed(line + "then\n" + line, set(), 3)[0] == line + "then\n"
+
+
 def test_units_cover_the_text():
     rng = random.Random(6)
     for _ in range(300):
