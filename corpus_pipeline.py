@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import language, line_dedup, near_dedup, packing, substring_dedup
@@ -31,10 +31,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates."""
-    judged = near_dedup.linked(docs).where("kept").select(
-        F.coalesce("doc_id", F.lit(2**63 - 1)).alias(KEY), F.col(HASH)).distinct()
-    return with_key(docs, "doc_id", "text").join(judged, [KEY, HASH], "left_semi").select(*docs.columns)
+    """Keeps exactly one row of each group of near-duplicates, the first by id, hash of the text and the other columns.
+
+    Null ids rank last.  Documents without words are like no others; of rows that agree in id and text one is kept.
+    """
+    judged = near_dedup.linked(docs).select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias(KEY), HASH, "root")
+    document = F.struct(KEY, HASH)
+    first = judged.where("root IS NOT NULL").groupBy("root").agg(F.min(document).alias("first")).select("first.*")
+    first = first.union(judged.where("root IS NULL").select(KEY, HASH)).distinct()
+    order = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0)]
+    rows = with_key(docs, "doc_id", "text").withColumn("__row", F.row_number().over(Window.partitionBy(KEY, HASH).orderBy(*order)))
+    return rows.where("__row = 1").join(first, [KEY, HASH], "left_semi").select(*docs.columns)
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ between are aligned the same way.  Blocks of neighbouring common lines with at l
 from the later document, and what is left of it is compared again, in any order, until no such block is common.  The first holder of a line is never the later document for it, so a line never
 vanishes from all its holders.
 
-Null texts stay null, empty ones empty; null ids rank last.  Documents that share an id are not compared with each
-other, each is with all others.  Rows that agree in id and text are one document.  Only hashes of lines are shuffled for
+Null texts stay null, empty ones empty; documents are ordered by id, null ids last, and those of one id by the hash
+of their text.  Rows that agree in id and text are one document.  Only hashes of lines are shuffled for
 the comparison, so a very long text is bounded by its own lines.  All columns of the input stay; a result column
 replaces one of the same name.
 """
@@ -164,15 +164,15 @@ def stretches(a: list[int], known: dict) -> list[tuple[int, int]]:
 
 
 def document_pairs(lines: DataFrame, rare: int) -> DataFrame:
-    """(`earlier`, `later`) keys of documents that share a telling line or run; `lines` has (line, key).
+    """(`earlier`, `later`) documents that share a telling line or run; `lines` has (line, doc), `doc` is (key, tag).
 
     The shared lines are a table, so that Spark can split the join at a line which very many documents hold.
     """
-    shared = lines.groupBy("line").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n"))
+    shared = lines.groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
     held = cut_lineage(lines.join(cut_lineage(shared.where("first < last").drop("last")), "line"))
-    by_first = held.where("key > first").select(F.col("first").alias("earlier"), F.col("key").alias("later"))
-    few = held.where(F.col("n") <= rare).select("line", "key")
-    by_line = few.withColumnRenamed("key", "earlier").join(few.withColumnRenamed("key", "later"), "line").where("earlier < later")
+    by_first = held.where("doc > first").select(F.col("first").alias("earlier"), F.col("doc").alias("later"))
+    few = held.where(F.col("n") <= rare).select("line", "doc")
+    by_line = few.withColumnRenamed("doc", "earlier").join(few.withColumnRenamed("doc", "later"), "line").where("earlier < later")
     return by_first.union(by_line.select("earlier", "later")).distinct()
 
 
@@ -191,10 +191,11 @@ def remove_common_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     keyed = with_key(docs.select(key, text), key, text)
     bodies = cut_lineage(add_columns(keyed, hashes, "lines array<long>, words array<int>, telling array<long>")
                          .select(KEY, HASH, "lines", "words", "telling"))
-    telling = bodies.select(F.col(KEY).alias("key"), F.explode("telling").alias("line")).distinct()
-    pairs = document_pairs(telling, rare)
+    telling = bodies.select(F.struct(F.col(KEY).alias("key"), F.col(HASH).alias("tag")).alias("doc"), F.explode("telling").alias("line")).distinct()
+    pairs = document_pairs(telling, rare).select(F.col("earlier.key").alias("earlier"), F.col("earlier.tag").alias("earlier_tag"),
+                                                 F.col("later.key").alias("later"), F.col("later.tag").alias("tag"))
     later = bodies.select(F.col(KEY).alias("later"), F.col(HASH).alias("tag"), F.col("lines").alias("b"), "words")
-    earlier = bodies.select(F.col(KEY).alias("earlier"), F.col("lines").alias("a"))
+    earlier = bodies.select(F.col(KEY).alias("earlier"), F.col(HASH).alias("earlier_tag"), F.col("lines").alias("a"))
 
     def align(batches):
         names = ["later", "tag", "places"]
@@ -204,7 +205,7 @@ def remove_common_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], t) for i, t in enumerate(kinds)], names)
 
-    aligned = pairs.join(later, "later").join(earlier, "earlier").mapInArrow(align, "later long, tag long, places array<int>")
+    aligned = pairs.join(later, ["later", "tag"]).join(earlier, ["earlier", "earlier_tag"]).mapInArrow(align, "later long, tag long, places array<int>")
     cuts = aligned.select("later", "tag", F.explode("places").alias("place")).distinct()
     cuts = cuts.groupBy("later", "tag").agg(F.array_sort(F.collect_list("place")).alias("__places"))
     cuts = cuts.withColumnsRenamed({"later": KEY, "tag": HASH})

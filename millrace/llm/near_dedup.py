@@ -184,7 +184,7 @@ def _confirmed(pairs: DataFrame, places: DataFrame, keyed: DataFrame, text: str)
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: `doc_id, n_shingles, component_id, kept`, and its class `node` (null: no words)."""
+    """One row per document: `doc_id, n_shingles, component_id, kept`, its class `node` and component `root` (null: no words)."""
     keyed = with_key(docs.select(key, text), key, text)
     own = cut_lineage(sketches(docs, key, text))
     nodes = own.where(F.col("node").isNotNull()).groupBy("node").agg(
@@ -231,9 +231,9 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         roots = own.sparkSession.createDataFrame([], "node long, root long")
     least = own.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(KEY).alias("least")).join(roots, "node", "left")
     least = least.withColumn("root", F.coalesce("root", "node"))
-    named = cut_lineage(least.join(least.groupBy("root").agg(F.min("least").alias("__component")), "root").select("node", "__component"))
+    named = cut_lineage(least.join(least.groupBy("root").agg(F.min("least").alias("__component")), "root").select("node", "root", "__component"))
     done = own.join(named, "node", "left").withColumn("component", F.coalesce("__component", KEY))
     null_id = 2**63 - 1
     doc_id, component = (F.when(F.col(c) != null_id, F.col(c)) for c in (KEY, "component"))
     return done.select(doc_id.alias("doc_id"), "n_shingles", component.alias("component_id"),
-                       (F.col(KEY) == F.col("component")).alias("kept"), "node", HASH)
+                       (F.col(KEY) == F.col("component")).alias("kept"), "node", "root", HASH)

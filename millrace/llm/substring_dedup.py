@@ -7,9 +7,9 @@ lines that have no others (lists, verse) the shortest runs with so many words.
 unit, line or run is a repeat if a document before holds it, or its own document did before.  Every repeat is removed; a
 small unit between repeats goes with them.  Removed spans are kept with their offsets in the original text.
 
-Null texts stay null and empty ones empty.  Null ids rank last.  Documents that share an id share a rank: what they
-have in common stays in each.  Rows that agree in id and text are one document.  Very long texts are bounded by their
-own units only.  All columns of the input stay; a result column replaces one of the same name.
+Null texts stay null and empty ones empty.  Documents are ordered by id, null ids last, and those of one id by the hash of
+their text.  Rows that agree in id and text are one document.  Very long texts are bounded by their own units only.  All
+columns of the input stay; a result column replaces one of the same name.
 """
 
 from __future__ import annotations
@@ -135,9 +135,10 @@ def repeated_units(docs: DataFrame, key: str, text: str) -> DataFrame:
     """
     keyed = with_key(docs.select(key, text), key, text)
     units = keyed.select(KEY, HASH, text).mapInArrow(_digests, "upper long, lower long, key long, document long, place int")
-    shared = cut_lineage(units.groupBy("upper", "lower").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    document = F.struct("key", "document")
+    shared = cut_lineage(units.groupBy("upper", "lower").agg(F.min(document).alias("first"), F.max(document).alias("last"))
                          .where("first < last").select("upper", "lower", "first"))
-    later = units.join(shared, ["upper", "lower"]).where("key > first")
+    later = units.join(shared, ["upper", "lower"]).where(document > F.col("first"))
     return later.groupBy("key", "document").agg(F.collect_list("place").alias("places"))
 
 

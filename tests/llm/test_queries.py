@@ -44,3 +44,18 @@ def test_pipeline_takes_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_copies_of_one_id_or_none_are_kept_once(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words, "more"])
+    rows = [(1, text, "b"), (1, text, "a"), (1, near, "a"), (None, "other " + " ".join(words[::-1]), None), (None, " ".join(words[::-1]), None),
+            (None, " ".join(words[::-1]), None), (1, "quite different words stand in this text", "a"), (2, "", None), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.dedup_near(spark, docs, SF).collect()
+    assert sorted(r["doc_id"] or 9 for r in got) == [1, 1, 2, 3, 9]
+    assert "b" not in {r["source"] for r in got}
+    line, more = "a line of nine words that both documents hold here", "another line of nine words that they both do hold"
+    shared = spark.createDataFrame([(i, f"{own}\n{line}\n{more}") for i in (7, None) for own in (f"one {i}", f"two {i}")], "doc_id long, text string")
+    for stage in (corpus_pipeline.dedup_lines, corpus_pipeline.dedup_substrings):
+        assert sum(line in r["text"] for r in stage(spark, shared, SF).collect()) == 1
