@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import (bpe, fingerprints, language, licenses, line_dedup, near_dedup, neighbours, packing, substring_dedup,
-                          url_filters)
+from millrace.llm import (bpe, fingerprints, language, licenses, line_dedup, near_dedup, neighbours, packing, quality_rules,
+                          spelling, substring_dedup, url_filters)
 
 LEARN_PARTS, HELD_OUT = 3, 1
+SLIP_EVERY = 97
 #: Fixed values of the url query.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -71,10 +72,24 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spelled = spelling.slips(spelling.runs(_documents(spark, sf_dir)), SLIP_EVERY)
+    return spelling.variants(spelling.vocabulary(spelled))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_documents(spark, sf_dir)).drop("text", "clean_text")
+
+
 QUERIES = {f.__name__: f for f in (op1_licenses, op2_neighbours, op3_packing, op4_fingerprints, op5_near_dedup, op6_line_dedup, op7_url_filters,
-                                   op8_language, op9_substring_dedup, op10_bpe)}
+                                   op8_language, op9_substring_dedup, op10_bpe, op12_spelling, op13_quality_rules)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: The unsigned CRC-32 of a string in SQL: a table of 256 steps, then one fold over the bytes.
+_CRC_TABLE = """(SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    ORDER BY i) AS t FROM range(256) AS r(i))"""
+_BYTES = "list_transform(range(1, 2 * octet_length(encode({0})) + 1, 2), lambda i: ('0x' || substr(hex(encode({0})), i, 2))::BIGINT)"
+_CRC = ("xor(list_reduce(list_prepend(4294967295, " + _BYTES + "), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
 
 ORACLES = {
     "op5_near_dedup": rf"""
@@ -104,4 +119,46 @@ ORACLES = {
               FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
         SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
         FROM p LEFT JOIN f ON f.page_id = p.page_id AND f.k = 1""",
+    "op12_spelling": f"""
+        WITH RECURSIVE crc AS MATERIALIZED {_CRC_TABLE},
+        r AS (SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+'))")} AS run FROM documents),
+        h AS (SELECT run, {_CRC.format("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM r, crc),
+        w AS MATERIALIZED (
+            SELECT CASE WHEN h % {SLIP_EVERY} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                   count(*) AS n FROM h GROUP BY word HAVING length(word) >= {spelling.MIN_LENGTH} AND n >= {spelling.MIN_COUNT}),
+        v AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM w, unnest(range(1, length(word) + 1)) AS p(i)),
+        pairs AS (SELECT DISTINCT a.word AS a, b.word AS b FROM v a JOIN v b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+                  UNION SELECT v.word, w.word FROM v JOIN w ON w.word = v.rest UNION SELECT w.word, v.word FROM v JOIN w ON w.word = v.rest),
+        best AS MATERIALIZED (SELECT a AS word, count(*) AS n_near, min((-w.n, b)) AS best FROM pairs JOIN w ON w.word = b GROUP BY a),
+        f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= {spelling.RATIO} * w.n THEN best[2] END AS form,
+                                  CASE WHEN -best[1] >= {spelling.RATIO} * w.n THEN -best[1] END AS form_n FROM w LEFT JOIN best ON best.word = w.word),
+        chain AS (SELECT word, word AS root FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, chain.root, f.n, f.n_near, f.form_n
+        FROM f JOIN chain ON chain.word = f.word JOIN f last ON last.word = chain.root AND last.form IS NULL""",
+    "op13_quality_rules": rf"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        n AS (SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                     len(regexp_extract_all(text, '{quality_rules.SYMBOL.pattern}')) AS n_symbols FROM d),
+        g AS (SELECT r, i, list_slice(w, i, i + 2) AS g FROM d, unnest(range(1, len(w) - 1)) AS p(i)),
+        k AS (SELECT r, count(DISTINCT j) AS n_repeat_words FROM (
+                SELECT r, unnest(flatten(list_transform(starts, lambda i: [i, i + 1, i + 2]))) AS j
+                FROM (SELECT r, list(i) AS starts FROM g GROUP BY r, g HAVING count(*) > 1)) GROUP BY r),
+        s AS (SELECT r, string_split(text, chr(10)) AS s FROM d),
+        l AS (SELECT r, i, s[i] AS line, len(list_filter(string_split_regex(s[i], '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
+              FROM s, unnest(range(1, len(s) + 1)) AS p(i)),
+        o AS (SELECT *, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again, {_LOWER.format("line")} AS low FROM l WHERE n > 0),
+        j AS (SELECT r, n, again, NOT regexp_matches(line, '{quality_rules.CLOSED.replace("'", "''")}')
+                OR 4 * (len(regexp_extract_all(line, '{quality_rules.SYMBOL.pattern}')) + len(regexp_extract_all(line, '{quality_rules.DOUBLED}'))) > n
+                OR len(regexp_extract_all(line, '{quality_rules.SEPARATOR}')) >= 2
+                OR n <= {quality_rules.NAVIGATION_WORDS} AND regexp_matches(low, '{quality_rules.MENU}')
+                OR again OR n <= {quality_rules.BOILERPLATE_WORDS} AND regexp_matches(low, '{quality_rules.FRAME}') AS failed FROM o),
+        t AS (SELECT r, count(*) FILTER (again) AS n_dup_lines, count(*) FILTER (failed) AS n_lines_removed,
+                     coalesce(sum(n) FILTER (failed), 0)::BIGINT AS lost_words FROM j GROUP BY r),
+        b AS (SELECT n.*, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines_removed, 0) AS n_lines_removed,
+                     coalesce(lost_words, 0) AS lost_words FROM n LEFT JOIN k ON k.r = n.r LEFT JOIN t ON t.r = n.r)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines_removed, lost_words,
+               n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEATED} * n_words AS base_failed,
+               NOT (n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEATED} * n_words)
+                   AND 100 * lost_words <= {quality_rules.MAX_LOST} * n_words AS kept FROM b""",
 }
