@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import (bpe, fingerprints, language, licenses, line_dedup, near_dedup, neighbours, packing, quality_rules,
-                          spelling, substring_dedup, url_filters)
+from millrace.llm import (bpe, conversation_trie, fingerprints, language, licenses, line_dedup, near_dedup, neighbours, packing,
+                          quality_rules, spelling, substring_dedup, url_filters)
 
 LEARN_PARTS, HELD_OUT = 3, 1
+FAMILY, MOST = 100, 6
 SLIP_EVERY = 97
 #: Fixed values of the url query.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -72,6 +73,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.turns_of(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_trie.prefix_trie(*conversation_trie.with_shared_heads(turns, FAMILY, MOST))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelled = spelling.slips(spelling.runs(_documents(spark, sf_dir)), SLIP_EVERY)
     return spelling.variants(spelling.vocabulary(spelled))
@@ -82,7 +88,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_licenses, op2_neighbours, op3_packing, op4_fingerprints, op5_near_dedup, op6_line_dedup, op7_url_filters,
-                                   op8_language, op9_substring_dedup, op10_bpe, op12_spelling, op13_quality_rules)}
+                                   op8_language, op9_substring_dedup, op10_bpe, op11_conversation_trie, op12_spelling, op13_quality_rules)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 #: The unsigned CRC-32 of a string in SQL: a table of 256 steps, then one fold over the bytes.
@@ -119,6 +125,29 @@ ORACLES = {
               FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
         SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
         FROM p LEFT JOIN f ON f.page_id = p.page_id AND f.k = 1""",
+    "op11_conversation_trie": f"""
+        WITH crc AS MATERIALIZED {_CRC_TABLE},
+        t AS MATERIALIZED (
+            SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+        c AS (SELECT conv_id, conv_id - conv_id % {FAMILY} AS base, {_CRC.format("conv_id::VARCHAR")} % {MOST} AS h
+              FROM (SELECT DISTINCT conv_id FROM t), crc),
+        r AS (SELECT c.conv_id, 0 AS own, pos, turn FROM c JOIN t ON t.conv_id = c.base AND pos <= h
+              UNION ALL SELECT c.conv_id, 1, pos, turn FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h),
+        s AS MATERIALIZED (SELECT c.conv_id, coalesce(q, []) AS q FROM c LEFT JOIN (SELECT conv_id, list(turn ORDER BY own, pos) AS q FROM r GROUP BY conv_id) r
+                           ON r.conv_id = c.conv_id),
+        n AS MATERIALIZED (
+            SELECT d, list_slice(q, 1, d) AS p, min(conv_id) AS conv_id, count(*) AS n,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(q) = d), '')) AS ends
+            FROM s, unnest(range(0, len(q) + 1)) AS x(d) GROUP BY ALL),
+        k AS MATERIALIZED (SELECT n.*, CASE WHEN d > 0 THEN md5(list_slice(p, 1, d - 1)::VARCHAR) END AS up, md5(p::VARCHAR) AS me FROM n),
+        m AS (SELECT up, count(*) AS n_children FROM k WHERE d > 0 GROUP BY up),
+        f AS (SELECT k.*, coalesce(n_children, 0) AS n_children, CASE WHEN d > 0 THEN (n - 1) * length(p[-1].text) ELSE 0 END AS saved
+              FROM k LEFT JOIN m ON m.up = k.me),
+        u AS (SELECT md5(list_slice(p, 1, i)::VARCHAR) AS me, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+              FROM f, unnest(range(0, d + 1)) AS x(i) GROUP BY ALL)
+        SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, n_leaves, saved_tokens, f.ends AS ends_sha256
+        FROM f JOIN u ON u.me = f.me LEFT JOIN f up ON up.me = f.up""",
     "op12_spelling": f"""
         WITH RECURSIVE crc AS MATERIALIZED {_CRC_TABLE},
         r AS (SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+'))")} AS run FROM documents),
