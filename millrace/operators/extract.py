@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import markup as M
@@ -14,8 +14,10 @@ from millrace.functions.selectors import select_fields
 from millrace.functions.text import apply_rule_fn, let, strip_tags, strip_ws
 from millrace.functions.urls import section_base, url_join
 from millrace.operators.filters import url_allowed
+from millrace.operators.graph import page_chain
 from millrace.operators.joins import match_rules
 from millrace.operators.paging import top_n
+from millrace.session import cut_lineage
 
 
 def extract_list(df: DataFrame, container: Column, fields: dict[str, Callable[[Column], Column]]) -> DataFrame:
@@ -130,6 +132,58 @@ def extract_posts(
     )
 
 
+PAGES_PER_BLOCK = 1000  # pages of a thread whose posts one task counts through
+
+
+def thread_posts(
+    pages: DataFrame,
+    containers: Column,
+    staff: str,
+    accepted: str,
+    fields: Mapping[str, Callable[[Column], Column]] | None = None,
+    repeats_question: bool = False,
+) -> DataFrame:
+    """Posts of whole threads, counted through all pages of a thread.
+
+    `pages` is (page_id, next_id, html, ...), linked by their next-page links as in `page_chain`; `containers` are
+    the posts of a page.  The first post of a thread is its question and comes once: with `repeats_question` each
+    later page begins with it again.  `fields` reads more columns (score, times) from the html of a post.
+    Posts are (thread_id, page_id, page_number, pos, post_number, post_type, parent_id, body, is_staff, is_accepted,
+    fields..., other columns of the page); a page without posts gives none.
+    """
+    others = [c for c in pages.columns if c not in ("page_id", "next_id", "html")]
+    chain = page_chain(pages.select("page_id", "next_id")).withColumnRenamed("head_id", "thread_id").drop("total")
+    later = (F.col("page_number") > 1) & F.lit(repeats_question)
+    found = pages.select("page_id", *others, containers.alias("_posts")).join(chain, "page_id")
+    found = found.withColumn("_posts", F.when(later, F.slice("_posts", 2, F.greatest(F.size("_posts") - 1, F.lit(0)))).otherwise(F.col("_posts")))
+    found = cut_lineage(found)
+    counts = found.select("thread_id", "page_id", "page_number", F.size("_posts").cast("long").alias("n"))
+    ahead = _posts_before(counts)
+    rows = found.join(ahead, "page_id").select(
+        "thread_id", "page_id", "page_number", *others, "_before", F.posexplode("_posts").alias("_at", "body"))
+    number = F.col("_before") + F.col("_at") + 1
+    asked = F.col("post_number") == 1
+    rows = rows.withColumn("post_number", number.cast("long"))
+    return rows.select(
+        "thread_id", "page_id", "page_number", (F.col("_at") + 1).cast("long").alias("pos"), "post_number",
+        F.when(asked, "question").otherwise("answer").alias("post_type"), F.when(~asked, F.col("thread_id")).alias("parent_id"), "body",
+        M.flag("body", staff).alias("is_staff"), (~asked & M.flag("body", accepted)).alias("is_accepted"),
+        *[field(F.col("body")).alias(name) for name, field in (fields or {}).items()], *others,
+    )
+
+
+def _posts_before(counts: DataFrame) -> DataFrame:
+    """(`page_id`, `_before`): posts on earlier pages of the thread, summed in blocks of pages and then over blocks."""
+    counts = counts.withColumn("_block", F.floor(F.col("page_number") / PAGES_PER_BLOCK))
+    earlier = lambda keys, place: Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("n").over(earlier(["thread_id", "_block"], "page_number")), F.lit(0))
+    blocks = counts.groupBy("thread_id", "_block").agg(F.sum("n").alias("_n"))
+    shift = F.coalesce(F.sum("_n").over(earlier(["thread_id"], "_block")), F.lit(0))
+    shifts = blocks.select("thread_id", "_block", shift.alias("_shift"))
+    both = counts.withColumn("_inside", inside).join(shifts, ["thread_id", "_block"])
+    return both.select("page_id", (F.col("_inside") + F.col("_shift")).alias("_before"))
+
+
 FAILED_BODY = "scrapy failed"  # fixed value: stored where no body was found
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import markup as M
+from millrace.functions.dates import format_ts, from_epoch
 from millrace.functions.selectors import select_fields
 from millrace.functions.urls import ORIGIN
 from millrace.operators import extract as E
@@ -133,13 +135,26 @@ def extract_tags(r: Roles):
 
 
 @query("thread_posts", f"""
-SELECT page_id, i AS post_number, CASE WHEN i = 1 THEN 'question' ELSE 'answer' END AS post_type,
-       CASE WHEN i > 1 THEN page_id END AS parent_id, body, contains(body, '<b>') AS is_staff,
-       i > 1 AND contains(body, '<br>') AS is_accepted
-FROM (SELECT page_id, regexp_replace(unnest(parts), '</p>.*$', '', 's') AS body, generate_subscripts(parts, 1) AS i
-      FROM (SELECT page_id, string_split({ARTICLE}, '<p>')[2:] AS parts FROM pages))""")
+SELECT page_id, head AS thread_id, page_number, i AS pos, post_number, CASE WHEN post_number = 1 THEN 'question' ELSE 'answer' END AS post_type,
+       CASE WHEN post_number > 1 THEN head END AS parent_id, regexp_replace(part, '</p>.*$', '', 's') AS body, contains(part, '<b>') AS is_staff,
+       post_number > 1 AND contains(regexp_replace(part, '</p>.*$', '', 's'), '<br>') AS is_accepted, page_id % 50 AS score,
+       strftime(TIMESTAMP '2024-01-01' + to_minutes(page_id::INT), '%Y-%m-%d %H:%M:%S') AS creation_time
+FROM (SELECT *, row_number() OVER (PARTITION BY head ORDER BY page_number, i) AS post_number
+      FROM (SELECT page_id, head, page_number, unnest(parts) AS part, generate_subscripts(parts, 1) AS i
+            FROM (SELECT hosts.page_id, min(hosts.page_id) OVER (PARTITION BY host) AS head, row_number() OVER (PARTITION BY host ORDER BY hosts.page_id) AS page_number,
+                         list_transform(string_split({ARTICLE}, '<p>')[2:], lambda p: '<i class="score">' || (page_id % 50) || '</i><i data-time="'
+                             || (1704067200 + page_id * 60) || '"></i>' || p) AS parts FROM hosts JOIN pages USING (page_id))))""", "hosts")
 def thread_posts(r: Roles):
-    return E.extract_posts(r.pages.drop("url"), M.opened(M.inner("html", "article"), "p"), "page_id", "<b>", "<br>")
+    """The pages of a host as one thread, each post with a score and a time in its html."""
+    by_host = Window.partitionBy("host").orderBy("page_id")
+    linked = r.hosts.select("page_id", F.lead("page_id").over(by_host).alias("next_id"))
+    marks = F.concat(F.lit('<p><i class="score">'), F.col("page_id") % 50, F.lit('</i><i data-time="'), F.col("page_id") * 60 + 1704067200, F.lit('"></i>'))
+    pages = r.pages.select("page_id", F.replace("html", F.lit("<p>"), marks).alias("html")).join(linked, "page_id")
+    fields = {
+        "score": lambda b: F.regexp_extract(b, r'class="score">(\d+)<', 1).try_cast("long"),
+        "creation_time": lambda b: format_ts(from_epoch(F.regexp_extract(b, r'data-time="(\d+)"', 1).try_cast("long"))),
+    }
+    return E.thread_posts(pages, M.opened(M.inner("html", "article"), "p"), "<b>", "<br>", fields)
 
 
 @query("render_check", "SELECT page_id, url FROM pages WHERE NOT contains(html, '</html>')")

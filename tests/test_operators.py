@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from millrace.operators import changes as C
@@ -327,14 +328,69 @@ def test_bfs_equals_brute_force(spark):
     assert dict(rows(G.bfs(df, starts, 1))) == {k: v for k, v in depth.items() if v <= 1}
 
 
-def test_page_chain_numbers_pages_and_leaves_cycles(spark):
-    links = [(i, i + 1 if i < 11 else None) for i in range(12)] + [(20, None), (30, 31), (31, 32), (32, 30), (40, 40)]
-    df = spark.createDataFrame(links, "page_id long, next_id long")
+def test_bfs_with_hubs_equals_brute_force(spark):
+    edges = [(0, i) for i in range(1, 30)] + [(i, i + 30) for i in range(1, 30)] + [(31, 0), (59, 60), (60, 0)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    starts = spark.createDataFrame([(59,)], "page long")
+    plain = dict(rows(G.bfs(df, starts)))
+    assert plain[60] == 1 and plain[0] == 2 and plain[5] == 3 and plain[35] == 4
+    assert dict(rows(G.bfs(df, starts, hubs=[Row(src=0), Row(src=77)]))) == plain
+
+
+def test_page_chain_numbers_pages_of_chains_and_cycles(spark):
+    links = [(i, i + 1 if i < 11 else None) for i in range(12)] + [(20, None), (32, 30), (31, 32), (30, 31), (40, 40)]
+    df = spark.createDataFrame([*links, (None, 3)], "page_id long, next_id long")
     got = {r["page_id"]: (r["head_id"], r["page_number"], r["total"]) for r in G.page_chain(df).collect()}
-    want = {i: (0, i + 1, 12) for i in range(12)} | {20: (20, 1, 1)} | {i: (None, None, None) for i in (30, 31, 32, 40)}
+    want = {i: (0, i + 1, 12) for i in range(12)} | {20: (20, 1, 1)} | {30: (30, 1, 3), 31: (30, 2, 3), 32: (30, 3, 3), 40: (40, 1, 1)}
     assert got == want
 
 
+def test_page_chain_on_random_pointers(spark):
+    """Trees and cycles: a page follows the least page that names it, a cycle begins at its least page."""
+    rng = random.Random(11)
+    links = {i: rng.choice([None, *range(90)]) for i in range(80)} | {i: i + 1 if i < 140 else 120 for i in range(120, 141)}
+    before = {}
+    for page, following in sorted(links.items()):
+        if following in links:
+            before.setdefault(following, page)
+    want = {}
+    for page in links:
+        path = [page]
+        while path[-1] in before and before[path[-1]] not in path:
+            path.append(before[path[-1]])
+        ring = before.get(path[-1])
+        if ring is not None:  # the path leads around a cycle, and so `page` is on it
+            head = min(path)
+            want[page] = (head, path.index(head) + 1, len(path))
+        else:
+            want[page] = (path[-1], len(path), None)
+    for page, (head, number, total) in want.items():
+        if total is None:
+            want[page] = (head, number, max(n for h, n, _ in want.values() if h == head))
+    df = spark.createDataFrame(list(links.items()), "page_id long, next_id long")
+    got = {r["page_id"]: (r["head_id"], r["page_number"], r["total"]) for r in G.page_chain(df).collect()}
+    assert got == want and len({h for h, _, t in want.values() if t > 1}) > 3
+
+
+def test_thread_posts_are_counted_through_the_pages(spark, monkeypatch):
+    monkeypatch.setattr(E, "PAGES_PER_BLOCK", 2)
+    post = lambda n, more="": f'<div class="p">{more}<b class="score">{n}</b></div>'
+    pages = [(5, 3, [1, 2]), (3, 9, [1, 3, 4]), (9, 8, [1]), (8, 2, [1, 5]), (2, None, [1, 6]), (7, None, []), (6, None, [7])]
+    df = spark.createDataFrame([(p, n, "".join(post(k) for k in posts), f"u{p}") for p, n, posts in pages],
+                               "page_id long, next_id long, html string, url string")
+    fields = {"score": lambda b: F.regexp_extract(b, r">(\d+)<", 1).cast("long")}
+    containers = F.regexp_extract_all("html", F.lit(r'<div class="p">([\s\S]*?)</div>'), F.lit(1))
+    got = E.thread_posts(df, containers, "staff", "score", fields, repeats_question=True)
+    want = [(5, 5, 1, 1, 1, "question", None), (5, 5, 1, 2, 2, "answer", 5), (5, 3, 2, 1, 3, "answer", 5), (5, 3, 2, 2, 4, "answer", 5),
+            (5, 8, 4, 1, 5, "answer", 5), (5, 2, 5, 1, 6, "answer", 5), (6, 6, 1, 1, 1, "question", None)]
+    names = ["thread_id", "page_id", "page_number", "pos", "post_number", "post_type", "parent_id"]
+    assert sorted(rows(got, *names), key=str) == sorted(want, key=str)
+    assert [s for _, s in sorted(rows(got.where("thread_id = 5"), "post_number", "score"))] == [1, 2, 3, 4, 5, 6]
+    assert got.where("is_accepted = (post_number = 1)").isEmpty() and set(rows(got, "url")) >= {("u5",), ("u2",)}
+    plain = E.thread_posts(df, containers, "staff", "score")
+    assert plain.where("thread_id = 5").count() == 10 and plain.where("post_type = 'question'").count() == 2
+
+
 # -- pages --------------------------------------------------------------------------
 
 def test_links_first_rule_wins(spark):

@@ -5,6 +5,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
+from millrace.functions import markup as M
+from millrace.operators import graph as G
+from millrace.operators.extract import extract_posts
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,8 +37,24 @@ def test_filters_reach_the_scan(spark, name, column):
 
 
 @pytest.mark.parametrize("name, most", [
-    ("strip_tags", 0), ("extract_links", 0), ("thread_posts", 0), ("parse_dates", 0), ("dedup_first", 1), ("key_check", 1),
+    ("strip_tags", 0), ("extract_links", 0), ("parse_dates", 0), ("dedup_first", 1), ("key_check", 1),
     ("accept_id", 2), ("upsert_replace", 4),
 ])
 def test_exchanges(spark, name, most):
     assert len(re.findall(r"\bExchange ", plan(spark, name))) <= most
+
+
+def test_posts_of_single_pages_are_not_exchanged(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").drop("url")
+    posts = extract_posts(pages, M.opened(M.inner("html", "article"), "p"), "page_id", "<b>", "<br>")
+    assert "Exchange" not in posts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_round_of_the_walk_does_not_move_the_edges(spark):
+    edges = spark.range(50_000).select((F.col("id") % 997).alias("src"), F.col("id").alias("dst"))
+    placed = G.bucketed(edges, "src")
+    level = spark.range(3000).select(F.col("id").alias("page")).hint("merge")
+    text = G.next_nodes(placed, level)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and text.count("Exchange") == 1
+    scan = text.split("Exchange")[0]  # the tree of the edges stands first and has no exchange
+    assert "Bucketed: true" in scan
