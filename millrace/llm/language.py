@@ -3,10 +3,10 @@
 For each language a model holds the probabilities of the pieces of a fixed public vocabulary.  A word's likelihood is
 the sum over all its segmentations into pieces, found by the forward algorithm; a text's is the product over its words.
 Training is expectation-maximisation: expected counts of pieces over all segmentations, from the words of labelled
-texts.  Words are runs of letters in lower case; other characters say nothing.
+texts.  Words are runs of letters in lower case, of any length; other characters say nothing.
 
 Null texts and texts without a letter are `und` with score 0, as is every text if nothing was learned.  Ties go to the
-language that sorts first.  Rows are judged by themselves, so repeated rows agree.  Empty tables give empty results.
+language that sorts first.  Very long texts and words are judged whole.  Rows are judged by themselves, so repeated rows agree.  Empty tables give empty results.
 Input columns that bear a name of an output column give way.
 """
 
@@ -18,6 +18,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -35,14 +36,16 @@ ROUNDS = 3
 SMOOTH = 0.05
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-WORD = 48  # letters; longer runs are read as several words, so that likelihoods stay within floats
 STRAY = 1e-9  # likelihood of a letter that no piece covers, in any language
+LANGUAGES = 1_000  # at most; a model has a number for each language and piece
+STEP = 8  # letters between two rescalings of the forward sums
+CELLS = 1 << 21  # forward sums held at once
+TEXTS = 256  # texts whose words are scored together
 
 
 def words_of(text: str) -> list[str]:
     """The words of a text, each with the mark of a word's beginning."""
-    runs = LETTERS.findall(text.lower())
-    return ["▁" + run[i:i + WORD] for run in runs for i in range(0, len(run), WORD)]
+    return ["▁" + run for run in LETTERS.findall(text.lower())]
 
 
 class Pieces:
@@ -51,19 +54,35 @@ class Pieces:
     def __init__(self, pieces: Iterable[str]):
         self.index = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
         self.letters = {p for p in self.index if len(p) == 1}
+        self.points = np.array([ord(p) for p in self.letters], dtype="<u4")
+        self.reach = max(map(len, self.index), default=1)
         self.stray = len(self.index)  # the index of letters that no piece covers
         self.finder = ahocorasick.Automaton()
         for p, i in self.index.items():
-            self.finder.add_word(p, (len(p), i))
+            self.finder.add_word(p, len(p) << 32 | i)
         self.finder.make_automaton()
 
     def edges(self, word: str) -> list[tuple[int, int, int]]:
         """All (start, end, piece) of the word, by end; a stray letter is a piece of its own."""
-        found = [(end + 1 - size, end + 1, piece) for end, (size, piece) in self.finder.iter(word)] if self.index else []
-        if not self.letters.issuperset(word):
-            found += [(i, i + 1, self.stray) for i, x in enumerate(word) if x not in self.letters]
-            found.sort(key=lambda edge: edge[1])
-        return found
+        return [(i, j, piece) for _, i, j, piece in zip(*(x.tolist() for x in self.edges_of([word])))]
+
+    def edges_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(word, start, end, piece) of all pieces in some words, by end and word."""
+        joined = "\n".join(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        word_at, starts = np.repeat(np.arange(len(words)), lengths), np.cumsum(lengths) - lengths
+        hits = np.fromiter(chain.from_iterable(self.finder.iter(joined)) if self.index else (), np.int64).reshape(-1, 2)
+        last, size, piece = hits[:, 0], hits[:, 1] >> 32, hits[:, 1] & 0xFFFFFFFF
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        strays = np.flatnonzero(~np.isin(points, self.points) & (points != ord("\n")))
+        if len(strays):
+            by_place = np.argsort(np.concatenate([last, strays]), kind="stable")
+            last, size, piece = (np.concatenate(pair)[by_place] for pair in (
+                (last, strays), (size, np.ones(len(strays), np.int64)), (piece, np.full(len(strays), self.stray))))
+        word = word_at[last]
+        end = last - starts[word] + 1
+        order = np.argsort(end.astype(np.int16) if lengths.max(initial=0) < 1 << 15 else end, kind="stable")  # a radix sort for short words
+        return word[order], (end - size)[order], end[order], piece[order]
 
 
 @lru_cache(maxsize=2)
@@ -77,20 +96,75 @@ def vocabulary_pieces(path: str) -> Pieces:
     return Pieces(p for p in (x.lower() for x in own) if LETTERS.fullmatch(p.replace("▁", "", 1) or "a"))
 
 
-def forward(edges: list[tuple[int, int, int]], n: int, p: list[float]) -> list[float]:
-    """Likelihood of each beginning of the word, over all segmentations."""
-    a = [1.0] + [0.0] * n
+def _log_sum(terms: list[float]) -> float:
+    top = max(terms, default=-math.inf)
+    return top if top == -math.inf else top + math.log(sum(math.exp(t - top) for t in terms))
+
+
+def log_forward(edges: list[tuple[int, int, int]], n: int, p: list[float]) -> list[float]:
+    """Log-likelihood of each beginning of the word, over all segmentations."""
+    terms: list[list[float]] = [[] for _ in range(n + 1)]
+    terms[0].append(0.0)
+    a, at = [0.0] * (n + 1), 1
     for i, j, piece in edges:
-        a[j] += a[i] * p[piece]
+        while at < j:
+            a[at], at = _log_sum(terms[at]), at + 1
+        terms[j].append(a[i] + math.log(p[piece]))
+    while at <= n:
+        a[at], at = _log_sum(terms[at]), at + 1
     return a
 
 
 def expected(edges: list[tuple[int, int, int]], n: int, p: list[float]) -> list[tuple[int, float]]:
     """How often each piece is expected in the word."""
-    a, b = forward(edges, n, p), [0.0] * n + [1.0]
-    for i, j, piece in reversed(edges):
-        b[i] += b[j] * p[piece]
-    return [(piece, a[i] * p[piece] * b[j] / a[n]) for i, j, piece in edges]
+    a = log_forward(edges, n, p)
+    turned = sorted((n - j, n - i, piece) for i, j, piece in edges)
+    b = log_forward(sorted(turned, key=lambda e: e[1]), n, p)[::-1]
+    return [(piece, math.exp(a[i] + math.log(p[piece]) + b[j] - a[n])) for i, j, piece in edges]
+
+
+def log_likelihoods(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """The log-likelihood of each word (row) in each language, summed over all segmentations.
+
+    `p` has a row for each piece and a column for each language.  Words are taken together by length; their forward sums
+    are rescaled on the way, so that a word may be of any length.
+    """
+    out = np.zeros((len(words), p.shape[1]))
+    order = sorted(range(len(words)), key=lambda k: len(words[k]))
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < len(order) and (end - at + 1) * (len(words[order[end]]) + 1) * p.shape[1] <= CELLS:
+            end += 1
+        out[order[at:end]] = _forward([words[k] for k in order[at:end]], pieces, p)
+        at = end
+    return out
+
+
+def _forward(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """`log_likelihoods` of words sorted by length."""
+    lengths = np.array([len(w) for w in words])
+    word, start, end, piece = pieces.edges_of(words)
+    sums = np.zeros((len(words), lengths[-1] + 1, p.shape[1]))
+    sums[:, 0] = 1.0
+    logs, out = np.zeros((len(words), p.shape[1])), np.zeros((len(words), p.shape[1]))
+    bounds = np.searchsorted(end, np.arange(1, lengths[-1] + 2))
+    ended = np.searchsorted(lengths, np.arange(lengths[-1] + 2))
+    for j in range(1, lengths[-1] + 1):
+        own = slice(bounds[j - 1], bounds[j])
+        w = word[own]
+        if len(w):
+            first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+            sums[w[first], j] = np.add.reduceat(sums[w, start[own]] * p[piece[own]], first)
+        done = slice(ended[j], ended[j + 1])
+        out[done] = np.log(np.maximum(sums[done, j], 1e-300)) + logs[done]
+        if j % STEP == 0:
+            live = slice(ended[j + 1], len(words))
+            window = sums[live, max(0, j + 1 - pieces.reach):j + 1]
+            top = np.maximum(window.max(axis=1), 1e-300)
+            window /= top[:, None]
+            logs[live] += np.log(top)
+    return out
 
 
 @dataclass
@@ -148,13 +222,15 @@ def fit(docs: DataFrame, learn: Column | None = None, key: str = "doc_id", text:
         sample: int = SAMPLE, rounds: int = ROUNDS, vocabulary: str | None = None) -> Model:
     """Learns from the rows of `docs` where `learn` holds and text and language are not null.
 
-    About `sample` documents of each language are taken, all if there are fewer, by a hash of the id; this bounds the
-    fit, whatever the input.  Collected are the languages and at most one number for each language and piece.
+    About `sample` documents of each language are taken, all if there are fewer, by a hash of id and text; this bounds
+    the fit, whatever the input.  More than `LANGUAGES` languages are refused.  Collected are the languages and at most one number for each language and piece.
     """
     known = docs.where(F.col(lang).isNotNull() if learn is None else learn & F.col(lang).isNotNull())
     known = known.select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
     languages = sorted(sizes)
+    if len(languages) > LANGUAGES:
+        raise ValueError(f"{len(languages)} languages, at most {LANGUAGES} can be learned")
     pieces = vocabulary_pieces(vocabulary or public_path(VOCABULARY))
     width = len(pieces.index) + 1
     start = np.full((len(languages), width), 1.0 / width)
@@ -163,7 +239,7 @@ def fit(docs: DataFrame, learn: Column | None = None, key: str = "doc_id", text:
     if not languages:
         return model
     share = F.create_map(*[F.lit(x) for x in languages for x in (x, sample / sizes[x])])
-    chance = F.pmod(F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
+    chance = F.pmod(F.xxhash64(F.col("key").cast("string"), "text", F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
     drawn = known.where((chance < share[F.col("lang")]) & F.col("text").isNotNull()).select("lang", "text")
     words = cut_lineage(drawn.mapInArrow(_counts, "lang string, word string, n long")
                         .groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -180,48 +256,54 @@ def fit(docs: DataFrame, learn: Column | None = None, key: str = "doc_id", text:
 
 
 class Scorer:
-    """Log-likelihoods of texts, word by word; the words met so far are remembered, up to a limit."""
+    """Log-likelihoods of texts, the words of many texts at once; the words met so far are remembered, up to a limit."""
 
     def __init__(self, model: Model, limit: int = 250_000):
         self.pieces, self.languages, self.limit = model.pieces, model.languages, limit
-        self.p = model.probabilities.tolist()
+        self.p = np.ascontiguousarray(model.probabilities.T)
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.words: dict[str, np.ndarray] = {}
-        self.table = np.zeros((1024, len(self.languages) + 1))
-
-    def _word(self, word: str) -> np.ndarray:
-        edges, n = self.pieces.edges(word), len(word)
-        row = self.words[word] = np.array([*(math.log(max(forward(edges, n, p)[n], 1e-300)) for p in self.p), n - 1.0])
-        return row
-
-    def _learn(self, token: str) -> None:
-        known = [self.words[w] if w in self.words else self._word(w) for w in words_of(token)]
-        row = known[0] if len(known) == 1 else sum(known) if known else 0.0
-        at = self.at[token] = len(self.at)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[at] = row
-
-    def sums(self, text: str) -> np.ndarray:
-        """The log-likelihood for each language, then the number of letters."""
-        tokens = Counter(text.split())
+        self.at: dict[str, int] = {}  # token -> row; words of letters only have one row in each of the two tables
+        self.words: dict[str, int] = {}
+        self.table = self.word_table = np.zeros((0, len(self.languages) + 1))
+
+    def _learn(self, tokens: list[str]) -> None:
+        """Adds the rows of new tokens: for each language the log-likelihood of its words, then its number of letters."""
+        spelled = [words_of(t) for t in tokens]
+        new = list({w for ws in spelled for w in ws if w not in self.words})
+        if new:
+            rows = np.column_stack([log_likelihoods(new, self.pieces, self.p), [len(w) - 1.0 for w in new]])
+            self.words.update(zip(new, range(len(self.word_table), len(self.word_table) + len(new))))
+            self.word_table = np.concatenate([self.word_table, rows])
+        token = np.repeat(np.arange(len(tokens)), [len(ws) for ws in spelled])
+        rows = np.zeros((len(tokens), self.table.shape[1]))
+        np.add.at(rows, token, self.word_table[[self.words[w] for ws in spelled for w in ws]])
+        self.at.update(zip(tokens, range(len(self.table), len(self.table) + len(tokens))))
+        self.table = np.concatenate([self.table, rows])
+
+    def sums(self, texts: list[str]) -> np.ndarray:
+        """For each text its log-likelihood in each language, then its number of letters."""
+        counted = [Counter(t.split()) for t in texts]
         if len(self.at) > self.limit:
             self.clear()
-        at = self.at
-        for token in tokens:
-            if token not in at:
-                self._learn(token)
-        return np.array(list(tokens.values()), float) @ self.table[[at[t] for t in tokens]] if tokens else np.zeros(len(self.languages) + 1)
-
-    def judge(self, text: str | None) -> tuple[str, float]:
-        sums = self.sums(text or "")
-        if not self.languages or not sums[-1]:
-            return UNDETERMINED, 0.0
-        best = int(np.argmax(sums[:-1]))
-        return self.languages[best], float(1.0 / np.exp(sums[:-1] - sums[best]).sum())
+        self._learn(list({t for c in counted for t in c if t not in self.at}))
+        out = np.zeros((len(texts), self.table.shape[1]))
+        for k, c in enumerate(counted):
+            if c:
+                out[k] = np.fromiter(c.values(), float, len(c)) @ self.table[[self.at[t] for t in c]]
+        return out
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out = []
+        for at in range(0, len(texts), TEXTS):
+            for sums in self.sums([t or "" for t in texts[at:at + TEXTS]]):
+                if not self.languages or not sums[-1]:
+                    out.append((UNDETERMINED, 0.0))
+                    continue
+                best = int(np.argmax(sums[:-1]))
+                out.append((self.languages[best], float(1.0 / np.exp(sums[:-1] - sums[best]).sum())))
+        return out
 
 
 def detect(docs: DataFrame, model: Model, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -230,6 +312,6 @@ def detect(docs: DataFrame, model: Model, text: str = "text", lang_pred: str = "
 
     def make():
         scorer = Scorer(shared.value)
-        return lambda batch: list(zip(*[scorer.judge(t) for t in batch.column(text).to_pylist()])) or [[], []]
+        return lambda batch: list(zip(*scorer.judge(batch.column(text).to_pylist()))) or [[], []]
 
     return add_columns(docs, make, f"`{lang_pred}` string, `{score}` double")

@@ -1,6 +1,7 @@
 """Each operator against brute force on small rows: nulls, empty and long texts, ties, repeats, clashing columns."""
 
 import base64
+import decimal
 import hashlib
 import random
 import zlib
@@ -325,7 +326,8 @@ def test_forward_sums_all_segmentations():
     ways = [("▁", "a", "b"), ("▁", "ab"), ("▁a", "b")]
     want = sum(np.prod([p[pieces.index[x]] for x in way]) for way in ways)
     edges = pieces.edges(word)
-    assert language.forward(edges, 3, p)[3] == pytest.approx(want)
+    assert np.exp(language.log_forward(edges, 3, p)[3]) == pytest.approx(want)
+    assert np.exp(language.log_likelihoods([word, "z", "▁"], pieces, np.array([p]).T))[0, 0] == pytest.approx(want)
     counts = {}
     for piece, n in language.expected(edges, 3, p):
         counts[piece] = counts.get(piece, 0) + n
@@ -333,6 +335,45 @@ def test_forward_sums_all_segmentations():
     assert pieces.edges("z") == [(0, 1, pieces.stray)]
 
 
+def whole_text_model(text, pieces, p):
+    """Log-likelihood of a text in exact decimals, by the recursion over its letters, without cuts or scales."""
+    total = decimal.Decimal(0)
+    with decimal.localcontext(prec=60, Emin=-999_999, Emax=999_999):
+        for word in language.words_of(text):
+            a = [decimal.Decimal(1)]
+            for j in range(1, len(word) + 1):
+                last = word[j - 1]
+                a.append(sum((a[i] * decimal.Decimal(p[pieces.index[word[i:j]]]) for i in range(j) if word[i:j] in pieces.index), decimal.Decimal(0))
+                         + (0 if last in pieces.letters else a[j - 1] * decimal.Decimal(p[pieces.stray])))
+            total += a[-1].ln()
+    return float(total)
+
+
+def test_texts_and_long_runs_equal_a_whole_text_model():
+    rng = random.Random(4)
+    pieces = language.Pieces(["a", "b", "c", "ab", "abc", "▁", "▁a", "ca", "é"])
+    p = np.random.RandomState(2).dirichlet(np.ones(len(pieces.index) + 1), 3)
+    p[:, -1] = 1e-9
+    model = language.Model(["x", "y", "z"], p)
+    model.__class__ = type("Own", (language.Model,), {"pieces": pieces})
+    texts = ["abc ca 12 x. Ab", "", "a" * 200, "".join(rng.choice("abcé中") for _ in range(700)), " ".join("".join(rng.choice("abcz") for _ in range(9)) for _ in range(300))]
+    scorer = language.Scorer(model, limit=50)
+    for got, text in zip(scorer.sums(texts), texts):
+        assert got[:3] == pytest.approx([whole_text_model(text, pieces, row) for row in p], rel=1e-9)
+        assert got[3] == sum(len(w) - 1 for w in language.words_of(text))
+    edges = pieces.edges("▁" + "ab" * 150)
+    assert sum(n for piece, n in language.expected(edges, 301, p[0].tolist()) if piece in (pieces.index["▁"], pieces.index["▁a"])) == pytest.approx(1)
+
+
+def test_documents_without_an_id_are_drawn_by_their_text(spark):
+    rng = random.Random(6)
+    rows = [(None, prose(rng, 4, "aeiost"), "xx") for _ in range(400)] + [(i, prose(rng, 40, "uorkng"), "yy") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, sample=60)
+    found = language.detect(docs.withColumns({"lang_pred": F.lit(1), "score": F.lit("clash")}), model)
+    assert found.where("lang_pred = lang").count() > 440 and found.columns.count("score") == 1
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(docs, F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1)
