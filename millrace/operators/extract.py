@@ -13,9 +13,9 @@ from millrace.functions import markup as M
 from millrace.functions.selectors import select_fields
 from millrace.functions.text import apply_rule_fn, let, strip_tags, strip_ws
 from millrace.functions.urls import section_base, url_join
-from millrace.operators.filters import url_allowed
+from millrace.operators.filters import domain_of, url_allowed
 from millrace.operators.graph import page_chain
-from millrace.operators.joins import match_rules
+from millrace.operators.joins import match_rules, rules_of_pages
 from millrace.operators.paging import top_n
 from millrace.session import cut_lineage
 
@@ -81,6 +81,43 @@ def extract_links(pages: DataFrame, rules: Sequence[LinkRule]) -> DataFrame:
     return links.select("page_id", "a.rule", "a.pos", "a.href", "a.url", "a.text", "a.title", "a.css")
 
 
+SPEC = r"^//(\w+)(?:\[@([\w-]+)=\"([^\"\\]*)\"\])?$"
+
+
+def region_pattern(spec: Column | str) -> Column:
+    """The pattern of a page region named by a column: `//tag` or `//tag[@name="value"]`; others are refused."""
+    part = lambda i: F.regexp_extract(spec, SPEC, i)
+    named = F.when(part(2) != "", F.concat(F.lit("(?=[^>]*\\s"), part(2), F.lit('="\\Q'), part(3), F.lit('\\E")'))).otherwise("")
+    pattern = F.concat(F.lit("(?i)<"), part(1), F.lit("\\b"), named, F.lit("[^>]*>[\\s\\S]*?</"), part(1), F.lit(">"))
+    return F.when(part(1) != "", pattern).otherwise(F.raise_error(F.concat(F.lit("unknown region: "), spec)).cast("string"))
+
+
+def rule_links(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """The links that the rule table lets a walk follow: (name, src, kind, url), each once.
+
+    `kind` is `1 list` for links in the region `next_page` of a rule and `2 article` for those in its region
+    `extract_from` (everywhere if empty) whose url fits `allow_url`.  Both stay in the domains of the rule.  Fragments
+    are cut off.  Every page is read once, whether the walk gets there or not; the walk itself is `walk_rules`.
+    """
+    matched = rules_of_pages(pages.select("url", "html"), rules)
+    in_region = lambda spec: F.call_function("regexp_extract", "html", region_pattern(spec), F.lit(0))
+    regions = {
+        "1 list": F.when(F.col("next_page") != "", in_region("next_page")),
+        "2 article": F.when(F.col("extract_from") != "", in_region("extract_from")).otherwise(F.col("html")),
+    }
+
+    def links_of(kind: str, region: Column) -> Column:
+        hrefs = F.transform(M.links(region), lambda a: F.struct(F.lit(kind).alias("kind"), a["href"].alias("href")))
+        return F.coalesce(hrefs, F.array().cast("array<struct<kind:string,href:string>>"))
+
+    found = F.concat(*[links_of(kind, region) for kind, region in regions.items()])
+    rows = matched.select("name", "domains", "allow_url", F.col("url").alias("src"), F.explode(found).alias("a"))
+    rows = rows.select("name", "domains", "allow_url", "src", "a.kind", F.regexp_replace(url_join("src", "a.href"), "#.*$", "").alias("url"))
+    inside = F.arrays_overlap(domain_of("url"), "domains")
+    fits = (F.col("kind") == "1 list") | F.expr("rlike(url, allow_url)")
+    return rows.where(inside & fits).select("name", "src", "kind", "url").distinct()
+
+
 def extract_fragment(html: Column | str, tag: str, attrs: str = "") -> Column:
     """A content region with its tags (`htmlcontent`) and as text (`content`)."""
     return let(

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from millrace.operators.filters import filter_domains, filter_urls
+from millrace.operators.joins import active_rules
 from millrace.operators.skew import hot_keys, lookup_join
 from millrace.session import cut_lineage, scratch_path
 
@@ -76,6 +77,28 @@ def next_nodes(edges: DataFrame, level: DataFrame) -> DataFrame:
     return edges.join(level.select(F.col("page").alias("src")), "src", "left_semi").select(F.col("dst").alias("page"))
 
 
+def walk_rules(links: DataFrame, rules: DataFrame) -> DataFrame:
+    """The crawl of each active rule, from its start urls to the end: (name, url, kind, depth).
+
+    `links` is (name, src, kind, url) as from `rule_links`.  Pages of the kind `1 list` hand their links on, articles do
+    not.  A url is met once in each rule, by its first link; lists come before articles of the same round.
+    Links are laid out once in buckets of rule and page; a round moves the newest level to them.
+    """
+    node = lambda url: F.concat_ws("\n", "name", url)
+    placed = bucketed(links.select(node("src").alias("src"), "name", "kind", "url"), "src")
+    starts = active_rules(rules).select("name", F.explode("starts").alias("url")).distinct()
+    level = cut_lineage(starts.select(node("url").alias("page"), "name", "url", F.lit("1 list").alias("kind"), F.lit(0).cast("long").alias("depth")))
+    reached, depth = level, 0
+    while not level.isEmpty():
+        depth += 1
+        lists = level.where("kind = '1 list'").select(F.col("page").alias("src"))
+        found = placed.join(lists, "src", "left_semi").groupBy("name", "url").agg(F.min("kind").alias("kind"))
+        found = found.withColumn("page", node("url")).join(reached.select("page"), "page", "left_anti")
+        level = cut_lineage(found.select("page", "name", "url", "kind", F.lit(depth).cast("long").alias("depth")))
+        reached = reached.unionByName(level)
+    return reached.drop("page")
+
+
 def page_chain(pages: DataFrame) -> DataFrame:
     """Head, page number and total of each page of a thread, from next-page links.
 

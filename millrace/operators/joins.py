@@ -18,28 +18,31 @@ def join_detail(entries: DataFrame, details: DataFrame, link: str = "link") -> D
 
 
 def active_rules(rules: DataFrame) -> DataFrame:
-    """Enabled extraction rules, with list columns as arrays."""
-    return rules.filter("enable = 1").withColumns(
-        {"domains": split_list("allow_domains"), "starts": split_list("start_urls")}
+    """Enabled extraction rules, with list columns as arrays; equal rules are one."""
+    return rules.filter("enable = 1").distinct().withColumns(
+        {"domains": F.array_distinct(split_list("allow_domains")), "starts": split_list("start_urls")}
     )
 
 
-def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Pages with each active rule of their domain whose url pattern they match.
+def rules_of_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """Each stored page with each active rule of its domain, once, however many of the rule's domains fit.
 
-    The domains of a host turn the suffix test into an equality join.  A rule table
-    proven small is broadcast; a larger one is joined on the page urls alone, so that
-    page contents are not copied once per domain.
+    The domains of a host turn the suffix test into an equality join, and a rule answers to the longest of them that it
+    lists.  A rule table proven small is broadcast to the pages.  A larger one meets the distinct urls, so that page
+    contents move once and not once per domain; the rows are the same.
     """
-    by_domain = active_rules(rules).withColumn("_domain", F.explode("domains")).dropDuplicates(["name", "allow_url", "_domain"])
+    by_domain = active_rules(rules).withColumn("_domain", F.explode("domains"))
+    first = F.get(F.filter("_of", lambda d: F.array_contains("domains", d)), 0)
     wide = small_enough(by_domain)
-    if wide is not by_domain:
-        spread = pages.withColumn("_domain", F.explode(domain_of("url")))
-        found = spread.join(wide, "_domain").filter("rlike(url, allow_url)")
-        return found.drop("_domain", "domains", "starts", "enable")
-    narrow = pages.select("page_id", "url").withColumn("_domain", F.explode(domain_of("url")))
-    found = narrow.join(by_domain, "_domain").filter("rlike(url, allow_url)")
-    return pages.join(found.drop("_domain", "domains", "starts", "enable", "url"), "page_id")
+    urls = pages if wide is not by_domain else pages.select("url").distinct()
+    spread = urls.withColumn("_of", domain_of("url")).withColumn("_domain", F.explode("_of"))
+    found = spread.join(wide, "_domain").where(F.col("_domain") == first).drop("_domain", "_of", "enable")
+    return found if urls is pages else pages.join(found, "url")
+
+
+def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """Pages with each active rule of their domain whose url pattern they match."""
+    return rules_of_pages(pages, rules).filter("rlike(url, allow_url)").drop("domains", "starts")
 
 
 def join_accepted(questions: DataFrame, posts: DataFrame, fields: Sequence[str] = ("body", "score")) -> DataFrame:

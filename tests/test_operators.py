@@ -290,15 +290,38 @@ def test_thread_pages_keep_the_question_once(spark):
 
 # -- joins, reports -----------------------------------------------------------------
 
-def test_rules_join_by_domain_small_and_large(spark, monkeypatch):
-    pages = spark.createDataFrame([(1, "http://www.a.com/n/1", "h"), (2, "http://ba.com/n/1", "h"), (3, "http://a.com/x", "h")],
-                                  "page_id int, url string, html string")
-    rules = spark.createDataFrame([("r", "a.com,c.com", "", r"/n/\d+", 1), ("off", "a.com", "", "/", 0)],
+def test_rules_join_once_per_stored_page_small_and_large(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "http://www.a.com/n/1", "h"), (1, "http://www.a.com/n/1", "h"), (2, "http://ba.com/n/1", "h"), (3, "http://a.com/x", "h"),
+                                   (4, "http://x.b.a.com/n/4", "h"), (5, None, "h"), (9, "http://c.com/n/9", "-")], "page_id int, url string, html string")
+    rules = spark.createDataFrame([("r", "a.com,c.com,b.a.com,a.com", "", r"/n/\d+", 1), ("r", "a.com,c.com,b.a.com,a.com", "", r"/n/\d+", 1),
+                                   ("s", "b.a.com", "", "/n", 1), ("off", "a.com", "", "/", 0)],
                                   "name string, allow_domains string, start_urls string, allow_url string, enable int")
     small = J.match_rules(pages, rules)
-    assert rows(small, "page_id", "name", "html") == [(1, "r", "h")]
+    want = [(1, "r", "h"), (1, "r", "h"), (4, "r", "h"), (4, "s", "h"), (9, "r", "-")]
+    assert sorted(rows(small, "page_id", "name", "html"), key=str) == sorted(want, key=str)
     monkeypatch.setattr(J, "small_enough", lambda df: df)
-    assert rows(J.match_rules(pages, rules), *small.columns) == rows(small)
+    assert sorted(rows(J.match_rules(pages, rules), *small.columns), key=str) == sorted(rows(small), key=str)
+
+
+def test_walk_follows_lists_and_ends_at_articles(spark):
+    page = lambda pager, listed: f'<div class="p"><a href="{pager}">n</a></div><ul>{"".join(f"<li><a href={chr(34)}{u}{chr(34)}>a</a>" for u in listed)}</ul>'
+    pages = spark.createDataFrame([
+        ("http://a.com/1", page("/2", ["/n/1", "/n/2#x", "/about", "http://b.com/n/3"])), ("http://a.com/2", page("/1", ["/n/2", "/n/4", "/3"])),
+        ("http://a.com/n/1", page("/9", ["/n/5"])), ("http://b.com/1", page("http://a.com/2", [])), (None, page("/7", []))], "url string, html string")
+    columns = "name string, allow_domains string, start_urls string, next_page string, allow_url string, extract_from string, enable int"
+    rules = [("a", "a.com", "http://a.com/1", '//div[@class="p"]', r"/n/\d", "//ul", 1), ("b", "b.com", "http://b.com/1,http://b.com/1", "//div", ".", "", 1),
+             ("c", "a.com", "http://a.com/1", "", r"/\d$", "", 1), ("d", "a.com", "http://a.com/1", "//div", ".", "//ul", 0)]
+    table = spark.createDataFrame(rules, columns)
+    links = E.rule_links(pages, table)
+    got = sorted(rows(G.walk_rules(links, table), "name", "depth", "kind", "url"))
+    url = "http://a.com"
+    assert got == sorted([
+        ("a", 0, "1 list", f"{url}/1"), ("a", 1, "1 list", f"{url}/2"), ("a", 1, "2 article", f"{url}/n/1"), ("a", 1, "2 article", f"{url}/n/2"),
+        ("a", 2, "2 article", f"{url}/n/4"), ("b", 0, "1 list", "http://b.com/1"), ("c", 0, "1 list", f"{url}/1"), ("c", 1, "2 article", f"{url}/2"),
+        ("c", 1, "2 article", f"{url}/n/1"), ("c", 1, "2 article", f"{url}/n/2")])
+    odd = spark.createDataFrame([("a", "a.com", "", "div.pager", ".", "", 1)], columns)
+    with pytest.raises(Exception, match="unknown region"):
+        E.rule_links(pages, odd).collect()
 
 
 def test_reports(spark):
