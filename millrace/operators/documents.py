@@ -10,13 +10,15 @@ of children comes in several rows itself (column `list_part`).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.values import null_token, split_list
 from millrace.operators.dedup import dedup_first
-from millrace.operators.joins import as_key
+from millrace.operators.joins import as_key, with_starts
 from millrace.operators.skew import HOT_ROWS, HOT_SHARE, fan_out_join, with_position
 from millrace.session import cut_lineage
 
@@ -116,9 +118,10 @@ def build_qa_docs(
     `questions` holds accept_id and the comma lists tags and answer_ids; `posts` is
     keyed by post_id.  Answers follow in list order, listed ids without a row drop out,
     and an accepted answer counts even when it is not listed.  answer_count is the
-    length of the list.  Rows are (question_id, part, comment_part, ...): both parts
-    are 0 but for questions with very many answers or comments.  Lists may come in
-    several rows per question, numbered from 0 by `list_part`; they count as one list.
+    length of the list.  With `comments`, a document has those of the question itself too.
+    Rows are (question_id, part, comment_part, ...): both parts are 0 but for questions
+    with very many answers or comments.  Lists may come in several rows per question,
+    numbered from 0 by `list_part`; they count as one list.
     """
     if "list_part" in questions.columns:
         questions = cut_lineage(questions)  # the lists are an aggregate, read for answers, heads and long lists
@@ -147,23 +150,28 @@ def build_qa_docs(
         .groupBy("question_id", "part", "comment_part")
         .agg(in_order("pos", answer).alias("answers"))
     )
+    if talk is not None:  # the comments of a question stand in its first parts, which need not have answers
+        said = talk.withColumn("question_id", F.col("post_id").try_cast(answers.schema["question_id"].dataType))
+        said = said.join(questions.select("question_id").distinct(), "question_id", "left_semi")
+        said = said.select("question_id", F.lit(0).cast("long").alias("part"), "comment_part", "comments")
+        answers = answers.join(said, ["question_id", "part", "comment_part"], "full")
     hot = _long_lists(questions, "question_id", "answer_ids", hot_rows)
     docs = fan_out_join(qa_heads(questions, source), answers, ["question_id"], hot)
+    arrays = [c for c in ("answers", "comments") if c in docs.columns]
     return docs.withColumns({
         "part": F.coalesce("part", F.lit(0)),
         "comment_part": F.coalesce("comment_part", F.lit(0)),
-        "answers": F.coalesce("answers", F.array().cast(docs.schema["answers"].dataType)),
+        **{c: F.coalesce(c, F.array().cast(docs.schema[c].dataType)) for c in arrays},
     })
 
 
 def _explode_lists(parents: DataFrame, key: str, ids: Column, *more: str) -> DataFrame:
     """One row per listed id: (key, more..., pos, post_id), with its place in the whole list of its parent."""
     lists = parents.withColumn("_ids", ids)
-    start = F.lit(0)
     if "list_part" in parents.columns:
-        before = Window.partitionBy(key).orderBy("list_part").rowsBetween(Window.unboundedPreceding, -1)
-        start = F.coalesce(F.sum(F.size("_ids")).over(before), F.lit(0))
-    lists = lists.select(key, *more, start.cast("long").alias("_start"), "_ids")
+        lists = with_starts(lists, key, "list_part", F.size("_ids"), "_start")
+    else:
+        lists = lists.withColumn("_start", F.lit(0).cast("long"))
     listed = lists.select(key, *more, "_start", F.posexplode("_ids").alias("_pos", "post_id"))
     return listed.select(key, *more, (F.col("_start") + F.col("_pos")).alias("pos"), "post_id")
 
@@ -259,9 +267,45 @@ def run_manifest(df: DataFrame, run: str, item: str, chunk: int = CHUNK) -> Data
     return nest(df.select(run, item).distinct(), [run], F.col(item), [item], "ids", chunk)
 
 
+def merged_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both: structs by name at every depth, wider numbers, else equal types only."""
+    if isinstance(a, T.NullType) or isinstance(b, T.NullType):
+        return b if isinstance(a, T.NullType) else a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        mine, other = ({f.name: f.dataType for f in t} for t in (a, b))
+        both = {n: merged_type(mine[n], other[n]) if n in mine and n in other else mine.get(n, other.get(n)) for n in {**mine, **other}}
+        return T.StructType([T.StructField(n, t) for n, t in both.items()])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(merged_type(a.elementType, b.elementType))
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        return T.MapType(merged_type(a.keyType, b.keyType), merged_type(a.valueType, b.valueType))
+    widest = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType]
+    if type(a) in widest and type(b) in widest:
+        return widest[max(widest.index(type(a)), widest.index(type(b)))]()
+    if a != b:
+        raise TypeError(f"{a.simpleString()} and {b.simpleString()} do not merge")
+    return a
+
+
+def conform(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """`value` of the type `have` as `want`: fields it lacks are null, at every depth; nulls stay null."""
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        own = {f.name: f.dataType for f in have}
+        fields = [(conform(value[f.name], own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in want]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda x: conform(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return F.transform_values(value, lambda k, v: conform(v, have.valueType, want.valueType))
+    return value.cast(want)
+
+
 def union_docs(*docs: DataFrame) -> DataFrame:
-    """Documents of several sources in one schema; fields a source lacks are null."""
-    merged = docs[0]
-    for more in docs[1:]:
-        merged = merged.unionByName(more, allowMissingColumns=True)
-    return merged
+    """Documents of several sources in one schema, merged by name at every depth; fields a source lacks are null."""
+    schema = reduce(merged_type, (d.schema for d in docs))
+
+    def fitted(d: DataFrame) -> DataFrame:
+        own = {f.name: f.dataType for f in d.schema}
+        return d.select(*[(conform(F.col(f.name), own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
+
+    return reduce(DataFrame.unionByName, map(fitted, docs))

@@ -66,13 +66,23 @@ def explode_ids(parents: DataFrame, ids: str, child: str = "post_id", pos: str =
     return parents.select(*kept, F.posexplode(split_list(ids)).alias(pos, child))
 
 
+def with_starts(lists: DataFrame, key: str, part: str, size: Column, name: str) -> DataFrame:
+    """Adds `name`, the number of entries in the parts of the same list before.
+
+    Only the sizes of parts are summed; the lists themselves move for parts behind the first alone.
+    """
+    first, later = lists.where(F.coalesce(F.col(part), F.lit(0)) == 0), lists.where(F.col(part) > 0)
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lists.select(key, part, size.alias("_size"))
+    starts = sizes.select(key, part, F.coalesce(F.sum("_size").over(before), F.lit(0)).cast("long").alias(name)).where(F.col(part) > 0)
+    return first.withColumn(name, F.lit(0).cast("long")).unionByName(later.join(starts, [key, part]))
+
+
 def with_start(lists: DataFrame, key: str, ids: str) -> DataFrame:
     """`key`, `ids` and `start`, the number of entries in the parts of the same list before (column `part`, if any)."""
     if "part" not in lists.columns:
         return lists.select(key, ids, F.lit(0).cast("long").alias("start"))
-    before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.size(split_list(ids))).over(before), F.lit(0))
-    return lists.select(key, ids, start.alias("start"))
+    return with_starts(lists.select(key, "part", ids), key, "part", F.size(split_list(ids)), "start").select(key, ids, "start")
 
 
 def join_id_list(questions: DataFrame, posts: DataFrame, ids: str = "answer_ids", key: str = "question_id") -> DataFrame:

@@ -48,22 +48,24 @@ placed AS (SELECT question_id, answer_id, a.body, a.score, coalesce(accept_id =
 flat_answers AS (SELECT question_id, (pos // 1000)::BIGINT AS part, coalesce(comment_part, 0) AS comment_part,
                         string_agg(body || ':' || score || ':' || accepted || ':' || coalesce(said, ''), '|' ORDER BY pos) AS answers
                  FROM placed LEFT JOIN talk ON answer_id = post_id GROUP BY 1, 2, 3)
-SELECT question_id, coalesce(part, 0) AS part, coalesce(comment_part, 0) AS comment_part, accept_id IS NOT NULL AS is_accepted,
+SELECT question_id, coalesce(part, 0) AS part, coalesce(flat_answers.comment_part, 0) AS comment_part, accept_id IS NOT NULL AS is_accepted,
        CASE WHEN answer_ids IS NULL THEN 0 ELSE len(string_split(answer_ids, ',')) END::BIGINT AS answer_count,
        view_count, 'u3danswers' AS source, coalesce(tags, '') AS tags, coalesce(answers, '') AS answers, title, score, link,
-       strftime(update_time, '%Y-%m-%d %H:%M:%S') AS update_time
-FROM qa LEFT JOIN flat_answers USING (question_id) WHERE NOT imported""", "qa comments")
+       strftime(update_time, '%Y-%m-%d %H:%M:%S') AS update_time, coalesce(asked.said, '') AS comments
+FROM qa LEFT JOIN flat_answers USING (question_id)
+LEFT JOIN talk asked ON asked.post_id = question_id AND asked.comment_part = coalesce(flat_answers.comment_part, 0) AND coalesce(part, 0) = 0
+WHERE NOT imported""", "qa comments")
 def qa_document(r: Roles):
     docs = A.build_qa_docs(r.qa.filter("NOT imported"), r.qa_posts, r.comments)
-    comments = lambda a: F.array_join(F.transform(a["comments"], lambda c: c["body"]), "+")
+    said = lambda comments: F.array_join(F.transform(comments, lambda c: c["body"]), "+")
     answers = F.transform(
         "answers",
-        lambda a: F.concat_ws(":", a["body"], a["score"].cast("string"), a["is_accepted"].cast("string"), comments(a)),
+        lambda a: F.concat_ws(":", a["body"], a["score"].cast("string"), a["is_accepted"].cast("string"), said(a["comments"])),
     )
     return docs.select(
         "question_id", "part", "comment_part", "is_accepted", "answer_count", "view_count", "source",
         F.array_join("tags", ",").alias("tags"), F.array_join(answers, "|").alias("answers"), "title", "score", "link",
-        format_ts("update_time").alias("update_time"),
+        format_ts("update_time").alias("update_time"), said(F.col("comments")).alias("comments"),
     )
 
 

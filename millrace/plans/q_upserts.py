@@ -10,28 +10,45 @@ from millrace.operators import upserts as U
 from millrace.operators.changes import classify_changes, summary_patches
 from millrace.plans.catalog import query
 from millrace.plans.roles import Roles
+from millrace.session import cut_lineage
 
 
 @query("union_sources", """
-SELECT question_id AS id, 'u3danswers' AS source, score AS favorite_count, NULL AS section FROM questions WHERE state = 'Accepted'
-UNION ALL SELECT question_id, 'u3dstack', view_count, NULL FROM questions WHERE imported
-UNION ALL SELECT question_id, 'ueanswers', score, section FROM questions WHERE NOT imported
-UNION ALL SELECT discussion_id, 'u3dforum', NULL, NULL FROM (SELECT DISTINCT discussion_id FROM posts)""",
-       "questions posts")
+WITH placed AS (SELECT question_id, a.answer_id, a.body, a.score, coalesce(accept_id = answer_id, false) AS accepted, state, imported,
+                  row_number() OVER (PARTITION BY question_id ORDER BY coalesce(accept_id <> answer_id, true), post_number) - 1 AS pos
+           FROM qa q JOIN answers a ON question_id = parent_id),
+said AS (SELECT post_id, count(*) AS n FROM comments GROUP BY 1),
+a AS (SELECT question_id, string_agg(body || ':' || accepted || ':' || score || ':' || coalesce(n, 0), '|' ORDER BY pos) AS full_answers,
+             string_agg(body || ':' || accepted || ':' || score || ':0', '|' ORDER BY pos) AS plain_answers,
+             string_agg(body || ':' || accepted || ':-:0', '|' ORDER BY pos) AS short_answers
+      FROM placed LEFT JOIN said ON post_id = answer_id GROUP BY 1),
+q AS (SELECT * FROM qa LEFT JOIN a USING (question_id) LEFT JOIN said ON post_id = question_id)
+SELECT question_id AS id, 'u3danswers' AS source, score AS favorite_count, NULL AS section, full_answers AS answers, n AS n_comments, NULL AS posts FROM q WHERE state = 'Accepted'
+UNION ALL SELECT question_id, 'u3dstack', view_count, NULL, plain_answers, NULL, NULL FROM q WHERE imported
+UNION ALL SELECT question_id, 'ueanswers', score, section, short_answers, NULL, NULL FROM q WHERE NOT imported
+UNION ALL SELECT discussion_id, 'u3dforum', NULL, NULL, NULL, NULL, string_agg(post_number || ':' || is_staff || ':' || md5(body), '|' ORDER BY post_number) FROM posts GROUP BY 1""",
+       "qa comments posts")
 def union_sources(r: Roles):
-    # The documents' heads: answers are nested per source before and not read here.
-    rows = r.accepts.withColumns({"answer_ids": F.lit(""), "tags": F.col("section")})
+    """Whole documents of four sources; their answers differ in what they hold."""
     picks = {"u3danswers": "state = 'Accepted'", "u3dstack": "imported", "ueanswers": "NOT imported"}
-    docs = []
+    docs, questions = [], cut_lineage(r.qa)
     for source, condition in picks.items():
         favorite = F.col("view_count" if source == "u3dstack" else "score")
-        questions = rows.filter(condition).withColumn(A.SOURCES[source]["favorite"], favorite)
-        docs.append(A.qa_heads(questions, source).withColumnRenamed("question_id", "id"))
+        chosen = questions.filter(condition).withColumn(A.SOURCES[source]["favorite"], favorite)
+        built = A.build_qa_docs(chosen, r.qa_posts, r.comments if source == "u3danswers" else None, source)
+        if source == "ueanswers":
+            built = built.withColumn("answers", F.transform("answers", lambda a: a.dropFields("score", "comments")))
+        docs.append(built.withColumnRenamed("question_id", "id"))
     ids = A.concat_children(r.posts, ["discussion_id"], "post_id", ["post_number"], "post_ids", numbered=True)
     lists = ids.select("discussion_id", "post_ids", F.when(F.col("part") == 0, "forum").alias("tags"), F.col("part").alias("list_part"))
-    forum = A.build_forum_docs(lists, r.posts).select("discussion_id", "source").distinct()  # one row for all parts
-    docs.append(forum.withColumnRenamed("discussion_id", "id"))
-    return A.union_docs(*docs).select("id", "source", "favorite_count", "section")
+    docs.append(A.build_forum_docs(lists, r.posts).withColumnRenamed("discussion_id", "id"))
+    answer = lambda a: F.concat_ws(":", a["body"], a["is_accepted"].cast("string"), F.coalesce(a["score"].cast("string"), F.lit("-")),
+                                   F.coalesce(F.size(a["comments"]), F.lit(0)).cast("string"))
+    post = lambda p: F.concat_ws(":", p["post_number"].cast("string"), p["is_staff"].cast("string"), F.md5(p["body"]))
+    whole = lambda c, text: F.when(F.size(c) > 0, F.array_join(F.transform(c, text), "|"))
+    return A.union_docs(*docs).select(
+        "id", "source", "favorite_count", "section", whole("answers", answer).alias("answers"),
+        F.when(F.size("comments") > 0, F.size("comments").cast("long")).alias("n_comments"), whole("posts", post).alias("posts"))
 
 
 POST_COLUMNS = """id, link, title, strftime(creation_time, '%Y-%m-%d') AS creation_time,

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import col
 from millrace.operators.dedup import dedup_last
-from millrace.operators.joins import active_rules
-from millrace.operators.upserts import replace_rows
 
 LINE = ["_file", "_block", "_line"]
 
@@ -66,11 +64,34 @@ def write_bulk(df: DataFrame, path: str) -> None:
     df.select("lines").write.text(path)
 
 
-def upsert_documents(existing: DataFrame, docs: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Put documents into the index table by id, replacing those present."""
-    return replace_rows(existing, docs, key, order)
+def index_rows(docs: DataFrame, id_col: str, fields: Sequence[str], parts: Sequence[str] = ("part", "comment_part")) -> DataFrame:
+    """Built documents as rows of an index: (doc_id, key, digest, json), one for each part of a document."""
+    json = json_line(*fields)
+    return docs.select(F.col(id_col).alias("doc_id"), doc_key(id_col, parts).alias("key"), F.sha2(json, 256).alias("digest"), json.alias("json"))
 
 
-def rule_source(spark: SparkSession, path: str) -> DataFrame:
-    """Enabled extraction rules of a rule table."""
-    return active_rules(spark.read.parquet(path))
+def index_changes(existing: DataFrame, rows: DataFrame) -> DataFrame:
+    """What an index has to do for some documents: (doc_id, key, action, digest, json).
+
+    `rows` holds all parts of the documents it names.  Parts that are new or have another digest are `index`, parts
+    that a document no longer has are `delete`; equal parts and other documents are not mentioned.  Of `existing` only
+    keys and digests are read.
+    """
+    touched = existing.select("doc_id", "key", F.col("digest").alias("_old")).join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    both = touched.join(rows, ["doc_id", "key"], "full")
+    action = F.when(F.col("digest").isNull(), "delete").when(F.col("_old").isNull() | (F.col("_old") != F.col("digest")), "index")
+    return both.select("doc_id", "key", action.alias("action"), "digest", "json").where("action IS NOT NULL")
+
+
+def upsert_documents(existing: DataFrame, changes: DataFrame) -> DataFrame:
+    """The index after its changes."""
+    kept = existing.join(changes.select("key"), "key", "left_anti")
+    return kept.unionByName(changes.where("action = 'index'").select(*existing.columns))
+
+
+def change_lines(changes: DataFrame, index: str, doc_type: str) -> DataFrame:
+    """Changes in search bulk format: an action line, and its document line where there is one."""
+    head = F.struct(F.lit(index).alias("_index"), F.lit(doc_type).alias("_type"), F.col("key").alias("_id"))
+    index_line, delete_line = (F.to_json(F.struct(head.alias(name))) for name in ("index", "delete"))
+    lines = F.when(F.col("action") == "delete", delete_line).otherwise(F.concat(index_line, F.lit("\n"), "json"))
+    return changes.withColumn("lines", lines)

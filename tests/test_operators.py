@@ -246,6 +246,50 @@ def test_lists_in_several_rows_are_one_list(spark):
     assert [p["post_number"] for r in forum for p in r["posts"]] == list(range(1, n + 1))
 
 
+def test_comments_of_a_question_stand_in_its_document(spark, posts):
+    q = questions(spark, [(101, "NULL", "1,2,3", ""), (102, "NULL", "", ""), (103, "NULL", "4", "")])
+    data = [(i, 101, f"q{i}") for i in range(5)] + [(10, 102, "two"), (20, 103, "a three"), (30, 77, "nobody")]
+    comments = spark.createDataFrame(data, "comment_id long, post_id long, body string").withColumn("creation_time", F.lit("2020-01-01").cast("timestamp_ntz"))
+    docs = A.build_qa_docs(q, posts, comments, chunk=2)
+    said = {}
+    for r in docs.orderBy("question_id", "part", "comment_part").collect():
+        said.setdefault(r["question_id"], []).extend(c["body"] for c in r["comments"])
+        assert len(r["comments"]) <= 2 and (r["part"] == 0 or not r["comments"])
+    assert said == {101: [f"q{i}" for i in range(5)], 102: ["two"], 103: ["a three"]}
+    assert [a["body"] for r in docs.where("question_id = 101").orderBy("part", "comment_part").collect() for a in r["answers"]] == \
+        [a["body"] for r in A.build_qa_docs(q, posts, chunk=2).where("question_id = 101").orderBy("part").collect() for a in r["answers"]]
+
+
+def test_unions_merge_nested_fields(spark):
+    one = spark.createDataFrame([(1, [(1, "x", [(5,)])], None, {"k": (1,)})], "id int, a array<struct<n:int,b:string,c:array<struct<u:int>>>>, s struct<p:int>, m map<string,struct<z:int>>")
+    two = spark.createDataFrame([(2, [(7, [(6, "v")]), None], (8, "q"), {"k": (2, 3)})],
+                                "id long, a array<struct<n:long,c:array<struct<u:int,w:string>>>>, s struct<p:int,r:string>, m map<string,struct<y:int,z:int>>")
+    bare = spark.createDataFrame([(3,)], "id int")
+    got = A.union_docs(one, two, bare)
+    assert got.schema["a"].dataType.simpleString() == "array<struct<n:bigint,b:string,c:array<struct<u:int,w:string>>>>"
+    assert got.schema["s"].dataType.simpleString() == "struct<p:int,r:string>"
+    assert [r.asDict(True) for r in got.orderBy("id").collect()] == [
+        {"id": 1, "a": [{"n": 1, "b": "x", "c": [{"u": 5, "w": None}]}], "s": None, "m": {"k": {"z": 1, "y": None}}},
+        {"id": 2, "a": [{"n": 7, "b": None, "c": [{"u": 6, "w": "v"}]}, None], "s": {"p": 8, "r": "q"}, "m": {"k": {"z": 3, "y": 2}}},
+        {"id": 3, "a": None, "s": None, "m": None}]
+    with pytest.raises(TypeError):
+        A.union_docs(one, spark.createDataFrame([("x",)], "s string"))
+
+
+def test_a_document_that_shrinks_loses_its_parts(spark):
+    docs = lambda rows: spark.createDataFrame(rows, "id long, part long, comment_part long, body string")
+    index = records.index_rows(docs([(1, 0, 0, "a"), (1, 1, 0, "b"), (1, 2, 0, "c"), (2, 0, 0, "d"), (3, 0, 0, "e")]), "id", ["id", "body"])
+    again = records.index_rows(docs([(1, 0, 0, "new"), (3, 0, 0, "e"), (4, 0, 0, "f")]), "id", ["id", "body"])
+    changes = records.index_changes(index, again)
+    assert sorted(rows(changes, "key", "action")) == [("1", "index"), ("1-1-0", "delete"), ("1-2-0", "delete"), ("4", "index")]
+    after = records.upsert_documents(index, changes)
+    assert sorted(rows(after, "key", "json")) == [("1", '{"id":1,"body":"new"}'), ("2", '{"id":2,"body":"d"}'), ("3", '{"id":3,"body":"e"}'), ("4", '{"id":4,"body":"f"}')]
+    assert records.index_changes(after, again).count() == 0
+    lines = {r["key"]: r["lines"] for r in records.change_lines(changes, "i", "t").collect()}
+    assert lines["1-1-0"] == '{"delete":{"_index":"i","_type":"t","_id":"1-1-0"}}'
+    assert lines["4"] == '{"index":{"_index":"i","_type":"t","_id":"4"}}\n{"id":4,"body":"f"}'
+
+
 def test_documents_of_hot_parents_are_the_same(spark, posts):
     q = questions(spark, [(1, "3", "1,2,3,99", "a,b"), (2, "NULL", "4", ""), (3, "5", "98,99,97", None), (4, "", "", "t")])
     cold, hot = A.build_qa_docs(q, posts, chunk=2), A.build_qa_docs(q, posts, chunk=2, hot_rows=2)
