@@ -12,7 +12,6 @@ Input columns that bear a name of an output column give way.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable
@@ -96,58 +95,28 @@ def vocabulary_pieces(path: str) -> Pieces:
     return Pieces(p for p in (x.lower() for x in own) if LETTERS.fullmatch(p.replace("▁", "", 1) or "a"))
 
 
-def _log_sum(terms: list[float]) -> float:
-    top = max(terms, default=-math.inf)
-    return top if top == -math.inf else top + math.log(sum(math.exp(t - top) for t in terms))
-
-
-def log_forward(edges: list[tuple[int, int, int]], n: int, p: list[float]) -> list[float]:
-    """Log-likelihood of each beginning of the word, over all segmentations."""
-    terms: list[list[float]] = [[] for _ in range(n + 1)]
-    terms[0].append(0.0)
-    a, at = [0.0] * (n + 1), 1
-    for i, j, piece in edges:
-        while at < j:
-            a[at], at = _log_sum(terms[at]), at + 1
-        terms[j].append(a[i] + math.log(p[piece]))
-    while at <= n:
-        a[at], at = _log_sum(terms[at]), at + 1
-    return a
-
-
-def expected(edges: list[tuple[int, int, int]], n: int, p: list[float]) -> list[tuple[int, float]]:
-    """How often each piece is expected in the word."""
-    a = log_forward(edges, n, p)
-    turned = sorted((n - j, n - i, piece) for i, j, piece in edges)
-    b = log_forward(sorted(turned, key=lambda e: e[1]), n, p)[::-1]
-    return [(piece, math.exp(a[i] + math.log(p[piece]) + b[j] - a[n])) for i, j, piece in edges]
-
-
-def log_likelihoods(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
-    """The log-likelihood of each word (row) in each language, summed over all segmentations.
-
-    `p` has a row for each piece and a column for each language.  Words are taken together by length; their forward sums
-    are rescaled on the way, so that a word may be of any length.
-    """
-    out = np.zeros((len(words), p.shape[1]))
+def _groups(words: list[str], width: int):
+    """Indices of words of about one length, few enough that `width` sums for each of their letters fit in `CELLS`."""
     order = sorted(range(len(words)), key=lambda k: len(words[k]))
     at = 0
     while at < len(order):
         end = at + 1
-        while end < len(order) and (end - at + 1) * (len(words[order[end]]) + 1) * p.shape[1] <= CELLS:
+        while end < len(order) and (end - at + 1) * (len(words[order[end]]) + 1) * width <= CELLS:
             end += 1
-        out[order[at:end]] = _forward([words[k] for k in order[at:end]], pieces, p)
+        yield order[at:end]
         at = end
-    return out
 
 
-def _forward(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
-    """`log_likelihoods` of words sorted by length."""
-    lengths = np.array([len(w) for w in words])
-    word, start, end, piece = pieces.edges_of(words)
-    sums = np.zeros((len(words), lengths[-1] + 1, p.shape[1]))
+def _forward(lengths: np.ndarray, edges: tuple, p: np.ndarray, reach: int, beginnings: bool) -> np.ndarray:
+    """Log-likelihood of each word in each language, summed over all segmentations, or of all its `beginnings` (second axis).
+
+    Words come sorted by length, `edges` by end and word.  Sums are rescaled on the way, so that words may be of any length.
+    """
+    word, start, end, piece = edges
+    sums = np.zeros((len(lengths), lengths[-1] + 1, p.shape[1]))
     sums[:, 0] = 1.0
-    logs, out = np.zeros((len(words), p.shape[1])), np.zeros((len(words), p.shape[1]))
+    scale = np.zeros((len(lengths), p.shape[1]))
+    logs = np.zeros(sums.shape if beginnings else scale.shape)
     bounds = np.searchsorted(end, np.arange(1, lengths[-1] + 2))
     ended = np.searchsorted(lengths, np.arange(lengths[-1] + 2))
     for j in range(1, lengths[-1] + 1):
@@ -156,14 +125,41 @@ def _forward(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
         if len(w):
             first = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
             sums[w[first], j] = np.add.reduceat(sums[w, start[own]] * p[piece[own]], first)
-        done = slice(ended[j], ended[j + 1])
-        out[done] = np.log(np.maximum(sums[done, j], 1e-300)) + logs[done]
+        wanted = slice(ended[j], len(lengths) if beginnings else ended[j + 1])
+        logs[(wanted, j) if beginnings else wanted] = np.log(np.maximum(sums[wanted, j], 1e-300)) + scale[wanted]
         if j % STEP == 0:
-            live = slice(ended[j + 1], len(words))
-            window = sums[live, max(0, j + 1 - pieces.reach):j + 1]
+            live = slice(ended[j + 1], len(lengths))
+            window = sums[live, max(0, j + 1 - reach):j + 1]
             top = np.maximum(window.max(axis=1), 1e-300)
             window /= top[:, None]
-            logs[live] += np.log(top)
+            scale[live] += np.log(top)
+    return logs
+
+
+def log_likelihoods(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """The log-likelihood of each word (row) in each language; `p` has a row for each piece and a column for each language."""
+    out = np.zeros((len(words), p.shape[1]))
+    for group in _groups(words, p.shape[1]):
+        own = [words[k] for k in group]
+        lengths = np.array([len(w) for w in own])
+        out[group] = _forward(lengths, pieces.edges_of(own), p, pieces.reach, False)
+    return out
+
+
+def expected_counts(words: list[str], times: np.ndarray, pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """How often each piece is expected in words that occur so many `times`, in a language of probabilities `p`."""
+    out, column = np.zeros(len(p)), p[:, None]
+    for group in _groups(words, 2):
+        own = [words[k] for k in group]
+        lengths = np.array([len(w) for w in own])
+        word, start, end, piece = pieces.edges_of(own)
+        before = _forward(lengths, (word, start, end, piece), column, pieces.reach, True)[:, :, 0]
+        turned = np.lexsort((word, lengths[word] - start))  # the words read from behind
+        mirrored = (word[turned], (lengths[word] - end)[turned], (lengths[word] - start)[turned], piece[turned])
+        behind = _forward(lengths, mirrored, column, pieces.reach, True)[:, :, 0]
+        whole = before[np.arange(len(own)), lengths]
+        share = np.exp(before[word, start] + np.log(p[piece]) + behind[word, lengths[word] - end] - whole[word])
+        out += np.bincount(piece, share * times[group][word], len(p))
     return out
 
 
@@ -204,13 +200,15 @@ def _expectations(model: Model) -> Callable:
 
     def run(batches):
         pieces, sums = model.pieces, np.zeros(model.probabilities.shape)
-        p = dict(zip(model.languages, model.probabilities.tolist()))
         at = {lang: i for i, lang in enumerate(model.languages)}
         for batch in batches:
+            words: dict[str, tuple[list, list]] = {}
             for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-                own = sums[at[lang]]
-                for piece, count in expected(pieces.edges(word), len(word), p[lang]):
-                    own[piece] += n * count
+                own = words.setdefault(lang, ([], []))
+                own[0].append(word)
+                own[1].append(n)
+            for lang, (own, times) in words.items():
+                sums[at[lang]] += expected_counts(own, np.array(times, float), pieces, model.probabilities[at[lang]])
         lang, piece = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(piece, pa.int32()),
                                           pa.array(sums[lang, piece], pa.float64())], ["lang", "piece", "expected"])
