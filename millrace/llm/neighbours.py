@@ -18,7 +18,6 @@ their own id.  Equal scores go by the smaller id.  Only id and vector are read.
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -29,11 +28,11 @@ from pyspark.sql import functions as F
 from millrace.session import cut_lineage
 
 NEAREST = 20
-DIRECTIONS = 8  # even, for the closed form of the chi-square distribution
-CONFIDENCE = 0.98
-LEAVES, CHUNK, BLOCK = 512, 8_192, 1_024
-SAMPLE = 20_000  # projected vectors that the cuts of the cells are fitted on
-BRANCH = 64  # vectors in a leaf of a kd-tree
+DIRECTIONS = 32  # even, for the closed form of the chi-square distribution
+CONFIDENCE = 0.9  # chosen with the directions by measured recall, see the README
+LEAVES, CHUNK, BLOCK = 8_192, 8_192, 1_024
+SAMPLE = 20_000  # projected vectors that the cuts of the cells are fitted on, or 16 for each cell if that is more
+BRANCH = 512  # vectors in a leaf of a kd-tree
 SEED = 7
 
 
@@ -48,59 +47,65 @@ def chi_square_quantile(p: float, m: int) -> float:
 
 
 class Tree:
-    """A kd-tree over projected points; leaves hold rows, nodes the box of their points."""
+    """A kd-tree over projected points: `order` puts them leaf by leaf, each leaf has its range there and its box."""
 
     def __init__(self, points: np.ndarray):
-        self.points, self.nodes = points, []
-        self._build(np.arange(len(points)))
-
-    def _build(self, rows: np.ndarray) -> int:
-        own = self.points[rows]
-        low, high = own.min(0), own.max(0)
-        at = len(self.nodes)
-        self.nodes.append(None)
-        axis = int(np.argmax(high - low))
-        if len(rows) <= BRANCH or high[axis] == low[axis]:
-            self.nodes[at] = (low, high, rows, None)
-        else:
-            half = len(rows) // 2
-            order = np.argpartition(own[:, axis], half)
-            self.nodes[at] = (low, high, None, (self._build(rows[order[:half]]), self._build(rows[order[half:]])))
-        return at
-
-    def distance(self, at: int, q: np.ndarray) -> float:
-        low, high = self.nodes[at][:2]
-        gap = np.maximum(np.maximum(low - q, q - high), 0.0)
-        return float(gap @ gap)
+        leaves: list[np.ndarray] = []
+        boxes: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = [np.arange(len(points))]
+        while waiting:
+            rows = waiting.pop()
+            own = points[rows]
+            low, high = own.min(0), own.max(0)
+            axis = int(np.argmax(high - low))
+            if len(rows) <= BRANCH or high[axis] == low[axis]:
+                leaves.append(rows)
+                boxes.append((low, high))
+            else:
+                half = len(rows) // 2
+                cut = np.argpartition(own[:, axis], half)
+                waiting += [rows[cut[half:]], rows[cut[:half]]]
+        self.order = np.concatenate(leaves)
+        self.ends = np.cumsum([len(rows) for rows in leaves])
+        self.points = points[self.order]
+        self.squares = np.einsum("ij,ij->i", self.points, self.points)
+        self.low, self.high = (np.array([box[k] for box in boxes]) for k in range(2))
 
     def near_to_far(self, q: np.ndarray):
-        """(projected squared distance at least, rows of a leaf), by rising distance."""
-        heap = [(self.distance(0, q), 0)]
-        while heap:
-            d, at = heapq.heappop(heap)
-            _, _, rows, children = self.nodes[at]
-            if children is None:
-                yield d, rows
-            else:
-                for child in children:
-                    heapq.heappush(heap, (self.distance(child, q), child))
+        """(projected squared distance of a leaf at least, its range), by rising distance."""
+        gap = np.maximum(np.maximum(self.low - q, q - self.high), 0.0)
+        distance = np.einsum("ij,ij->i", gap, gap)
+        for at in np.argsort(distance, kind="stable").tolist():
+            yield distance[at], slice(self.ends[at - 1] if at else 0, self.ends[at])
 
 
 def search(tree: Tree, vectors: np.ndarray, first_ids: np.ndarray, q: np.ndarray, projected: np.ndarray, longest: float,
-           most: int, bound: float, reach: float) -> list[tuple[float, int]]:
-    """(score, row) of the best `most` rows; `bound` is a squared distance that `most` vectors elsewhere stay within."""
+           most: int, bound: float, reach: float) -> tuple[list[tuple[float, int]], int]:
+    """(score, row) of the best `most` rows, and how many rows were verified on their whole vectors.
+
+    Vectors and ids come in the order of the tree.  `bound` is a squared distance that `most` vectors elsewhere stay
+    within.  Leaves come by their projected distance, and of a leaf the rows whose own projected distance passes the test
+    with the bound of that moment; the bound only falls, so a row that fails it once would fail it later.
+    """
     base = longest + float(q @ q)  # squared distance = base - 2 * inner product
-    best_scores, best_rows = np.zeros(0), np.zeros(0, int)
-    for d, rows in tree.near_to_far(projected):
+    square, best_scores, best_rows, verified = float(projected @ projected), np.zeros(0), np.zeros(0, int), 0
+    for d, leaf in tree.near_to_far(projected):
         if d > reach * bound:
             break
-        scores = np.concatenate([best_scores, vectors[rows] @ q])
-        own = np.concatenate([best_rows, rows])
+        apart = tree.squares[leaf] + square - 2.0 * (tree.points[leaf] @ projected)
+        rows = leaf.start + np.flatnonzero(apart <= reach * bound * (1 + 1e-12))
+        if not len(rows):
+            continue
+        verified += len(rows)
+        scores = vectors[rows] @ q
+        if len(best_scores) == most:  # ties stay, they go by id
+            rows, scores = rows[scores >= best_scores[-1]], scores[scores >= best_scores[-1]]
+        own, scores = np.concatenate([best_rows, rows]), np.concatenate([best_scores, scores])
         order = np.lexsort((first_ids[own], -scores))[:most]
         best_scores, best_rows = scores[order], own[order]
         if len(order) == most:
             bound = min(bound, max(base - 2 * float(best_scores[-1]), 0.0))
-    return list(zip(best_scores.tolist(), best_rows.tolist()))
+    return list(zip(best_scores.tolist(), best_rows.tolist())), verified
 
 
 def _directions(width: int) -> np.ndarray:
@@ -166,7 +171,7 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
         return run
 
     data = groups.mapInPandas(projected(False), "node string, v array<double>, ids array<long>, squared double, p array<double>")
-    drawn = data.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, SAMPLE / max(1, count)))))
+    drawn = data.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, max(SAMPLE, 16 << depth) / max(1, count)))))
     cuts = _cut(np.array([r["p"] for r in drawn.select("p").collect()]).reshape(-1, DIRECTIONS), depth) if depth else []
 
     def with_cell(frames):
@@ -204,10 +209,12 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
         def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             found: dict[str, list] = {"query": [], "node": [], "score": [], "first_id": []}
             if len(left) and len(right):
+                tree = Tree(np.stack(right["p"]))
+                right = right.iloc[tree.order]
                 vectors_, ids = np.stack(right["v"]).astype(float), right["ids"].map(lambda x: x[0]).to_numpy()
-                tree, nodes = Tree(np.stack(right["p"])), right["node"].to_numpy()
+                nodes = right["node"].to_numpy()
                 for name, v, p, bound in zip(left["node"], left["v"], left["p"], left["bound"]):
-                    for score, row in search(tree, vectors_, ids, np.asarray(v, float), np.asarray(p), longest, most, bound, reach):
+                    for score, row in search(tree, vectors_, ids, np.asarray(v, float), np.asarray(p), longest, most, bound, reach)[0]:
                         for column, value in zip(found.values(), (name, nodes[row], score, int(ids[row]))):
                             column.append(value)
             return pd.DataFrame(found)
@@ -237,9 +244,8 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
                 v = np.asarray(v, float)
                 bound = np.inf if score is None or np.isnan(score) else max(longest + float(v @ v) - 2 * score, 0.0)
                 gaps = np.maximum(np.maximum(low - p, p - high), 0.0)
-                for cell, d in zip(names.tolist(), (gaps * gaps).sum(1)):
-                    if d <= reach * bound:
-                        out += [(name, v, p, cell, c, bound) for c in range(chunks[cell]) if (cell, c) != (home_cell, 0)]
+                for cell in names[(gaps * gaps).sum(1) <= reach * bound].tolist():
+                    out += [(name, v, p, cell, c, bound) for c in range(chunks[cell]) if (cell, c) != (home_cell, 0)]
             yield pd.DataFrame(out, columns=["node", "v", "p", "cell", "chunk", "bound"])
 
     more = blocked(cut_lineage(home.select("node", "v", "p", "cell").join(worst, "node", "left").mapInPandas(within_reach, visit)))

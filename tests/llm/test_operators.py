@@ -326,12 +326,10 @@ def test_forward_sums_all_segmentations():
     ways = [("▁", "a", "b"), ("▁", "ab"), ("▁a", "b")]
     want = sum(np.prod([p[pieces.index[x]] for x in way]) for way in ways)
     edges = pieces.edges(word)
-    assert np.exp(language.log_forward(edges, 3, p)[3]) == pytest.approx(want)
     assert np.exp(language.log_likelihoods([word, "z", "▁"], pieces, np.array([p]).T))[0, 0] == pytest.approx(want)
-    counts = {}
-    for piece, n in language.expected(edges, 3, p):
-        counts[piece] = counts.get(piece, 0) + n
-    assert counts[pieces.index["ab"]] == pytest.approx(p[3] * p[2] / want)
+    counts = language.expected_counts(["z", word], np.array([1.0, 2.0]), pieces, np.array(p))
+    assert counts[pieces.index["ab"]] == pytest.approx(2 * p[3] * p[2] / want) and counts[pieces.stray] == pytest.approx(1)
+    assert edges == [(0, 1, 3), (0, 2, 4), (1, 2, 0), (1, 3, 2), (2, 3, 1)]
     assert pieces.edges("z") == [(0, 1, pieces.stray)]
 
 
@@ -361,8 +359,9 @@ def test_texts_and_long_runs_equal_a_whole_text_model():
     for got, text in zip(scorer.sums(texts), texts):
         assert got[:3] == pytest.approx([whole_text_model(text, pieces, row) for row in p], rel=1e-9)
         assert got[3] == sum(len(w) - 1 for w in language.words_of(text))
-    edges = pieces.edges("▁" + "ab" * 150)
-    assert sum(n for piece, n in language.expected(edges, 301, p[0].tolist()) if piece in (pieces.index["▁"], pieces.index["▁a"])) == pytest.approx(1)
+    counts = language.expected_counts(["▁" + "ab" * 150, "▁ca"], np.array([1.0, 3.0]), pieces, p[0])
+    assert counts[pieces.index["▁"]] + counts[pieces.index["▁a"]] == pytest.approx(4)
+    assert sum(counts * [len(x) for x in [*pieces.index, "z"]]) == pytest.approx(301 + 9)
 
 
 def test_documents_without_an_id_are_drawn_by_their_text(spark):
@@ -431,5 +430,33 @@ def test_nearest_against_brute_force(spark, monkeypatch):
     assert neighbours.nearest(few.where("vec_id < 0"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_the_stopping_test_prunes_and_keeps_the_nearest():
+    """Share of the vectors verified, and recall, of one tree over the given ones."""
+    import duckdb
+
+    own = np.array(duckdb.sql("SELECT embedding FROM '/root/testdata/sf0.1/embeddings.parquet'").fetchnumpy()["embedding"].tolist(), float)
+    rng = np.random.RandomState(3)
+    squared = np.einsum("ij,ij->i", own, own)
+    longest = squared.max()
+    directions = neighbours._directions(own.shape[1])
+    tree = neighbours.Tree(np.column_stack([own, np.sqrt(np.maximum(longest - squared, 0))]) @ directions)
+    own, ids = own[tree.order], np.arange(len(own))
+    reach = neighbours.chi_square_quantile(neighbours.CONFIDENCE, neighbours.DIRECTIONS)
+    hits = seen = 0
+    for k in rng.choice(len(own), 60, replace=False):
+        found, verified = neighbours.search(tree, own, ids, own[k], np.append(own[k], 0) @ directions, longest, 21, np.inf, reach)
+        hits += len({row for _, row in found} & set(np.argsort(-(own @ own[k]))[:21].tolist()))
+        seen += verified
+    assert hits / (60 * 21) >= 0.93 and seen / (60 * len(own)) < 0.7  # 2,000 vectors; the share falls with their number
+
+
+def test_no_queries_extra_columns_and_ids_with_several_vectors(spark):
+    table = spark.createDataFrame([(1, [1.0, 0.0], 5), (2, [0.0, 1.0], 5), (2, [1.0, 1.0], 5), (40, [1.0, 0.5], 6), (40, [0.9, 0.5], 6)],
+                                  "vec_id long, embedding array<double>, rank int").withColumn("score", F.lit("clash"))
+    assert neighbours.nearest(table.where("vec_id < 40"), F.col("id") % 20 == 0).count() == 0
+    got = neighbours.nearest(table, F.col("id") % 20 == 0).collect()
+    assert {r["query_id"] for r in got} == {40} and 40 not in {r["vec_id"] for r in got}
+
+
 def test_chi_square_quantile():
     assert neighbours.chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
