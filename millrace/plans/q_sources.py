@@ -8,7 +8,7 @@ from millrace.functions.dates import format_ts, to_epoch
 from millrace.operators import documents as A
 from millrace.operators.joins import active_rules
 from millrace.plans.catalog import query
-from millrace.plans.roles import Roles
+from millrace.plans.roles import Roles, ts
 from millrace.session import cut_lineage, scratch_path
 from millrace.sources import api, feeds, pages, records
 
@@ -224,7 +224,28 @@ def api_flatten(r: Roles):
         F.col("post_id").alias("parent_id"), format_ts("creation_time").alias("t"), "score",
         F.col("body").alias("value"),
     )
-    return A.union_docs(posts.dropDuplicates(["kind", "id"]), tags, comments)
+    return A.union_docs(posts, tags, comments)
+
+
+@query("api_walk", """
+WITH l AS (SELECT *, CASE WHEN update_time < TIMESTAMP '1998-01-01' THEN question_id END AS known FROM list_pages),
+p AS (SELECT page100 AS page, count(known) AS known FROM l GROUP BY 1),
+s AS (SELECT coalesce(min(page) FILTER (known > 0), max(page)) AS stop, (SELECT max(page) FROM p) AS pages FROM p)
+SELECT 'later' AS source, page100 AS page, question_id, stop AS fetching_page FROM l, s WHERE page100 <= stop AND known IS NULL
+UNION ALL SELECT 'first', page100, question_id, pages FROM l, s WHERE page100 >= 3 AND known IS NULL""", "list_pages")
+def api_walk(r: Roles):
+    """All questions as pages of a hundred, newest first: once after the first pass, once within it from page three."""
+    at = to_epoch("update_time")
+    item = F.struct("question_id", at.alias("last_activity_date"))
+    listed = r.list_pages(100)
+    pages = listed.groupBy("page").agg(F.collect_list(item).alias("items"))
+    last = listed.agg(F.max("page").alias("last")).scalar()
+    envelope = F.struct("items", (F.col("page") < last).alias("has_more"), "page", F.lit(100).alias("quota_remaining"))
+    envelopes = pages.select(F.explode(F.array(F.lit("later"), F.lit("first"))).alias("source"), F.to_json(envelope).alias("json"))
+    state = r.spark.createDataFrame([("later", 7, True, False), ("first", 3, True, True)], "source string, fetching_page long, has_more boolean, first_pass boolean")
+    stored = r.questions.where(F.col("update_time") < ts("1998-01-01 00:00:00")).select("question_id", "update_time")
+    taken, left = api.walk_pages(envelopes, state, stored)
+    return taken.select("source", "page", F.col("q.question_id").alias("question_id")).join(left.select("source", "fetching_page"), "source")
 
 
 @query("state_resume", """

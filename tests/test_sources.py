@@ -1,5 +1,7 @@
 """Formats: feeds, JSON lines, bulk lines, exports, API pages, image names."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import format_ts
@@ -101,3 +103,34 @@ def test_staged_table_lies_in_the_shared_folder(spark):
     assert sorted(r["id"] for r in staged.collect()) == [2, 3, 4]
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in staged.inputFiles())
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_a_resumed_walk_equals_one_walk(spark):
+    page = lambda n, ids, more, quota: ("so", json.dumps({"items": [{"question_id": i, "last_activity_date": 1000 + i} for i in ids], "has_more": more,
+                                                          "page": n, "quota_remaining": quota}))
+    known = spark.createDataFrame([(40, 1040), (21, 900), (11, 1011)], "question_id long, s long").select(
+        "question_id", api.from_epoch("s").alias("update_time"))
+    ids = {1: [50, 51], 2: [40, 41], 3: [30, 21], 4: [11, 12], 5: [1]}
+    plain = [page(n, own, n < 5, 100) for n, own in ids.items()]
+    short = [page(n, own, n < 5, 5 if n == 3 else 100) for n, own in ids.items()]
+
+    def walk(rows, state):
+        df = spark.createDataFrame(rows, "source string, json string")
+        now = spark.createDataFrame([state], "source string, fetching_page long, has_more boolean, first_pass boolean")
+        taken, left = api.walk_pages(df, now, known)
+        return sorted((r["page"], r["q"]["question_id"]) for r in taken.collect()), tuple(left.first())
+
+    whole, end = walk(plain, ("so", None, None, None))
+    assert whole == [(1, 50), (1, 51), (2, 41), (3, 21), (3, 30), (4, 12), (5, 1)] and end[1] == 5 and end[3] is False
+    part, state = walk(short, ("so", None, None, None))
+    assert state[1] == 3 and state[3] is True
+    rest, end = walk(plain, state)
+    assert sorted({*part, *rest}) == whole and end[1] == 5 and end[3] is False
+    later, end = walk(plain, end)  # after the first pass it ends behind the first page with a known question
+    assert later == [(1, 50), (1, 51), (2, 41)] and end[1] == 2
+
+
+def test_envelopes_are_parsed_once(spark):
+    df = spark.createDataFrame([('{"items":[{"question_id":1,"answer_count":1,"tags":["a"],"answers":[{"answer_id":2,"question_id":1}]}]}',)], "json string")
+    for table in api.flatten_api(df, "json").values():
+        assert "from_json" not in table._jdf.queryExecution().toString()
