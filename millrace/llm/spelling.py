@@ -52,7 +52,7 @@ def vocabulary(words: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
     return counted.where(F.col("n") >= min_count)
 
 
-def _tile(row: str = "") -> list:
+def _tile() -> list:
     """The key of a tile: its numbers, and the prefix and suffix that its words share."""
     word, length = F.col("word"), F.char_length("word")
     return [F.col("l"), F.col("lo"), F.col("hi"), F.substring(word, F.lit(1), F.col("lo")).alias("prefix"),
