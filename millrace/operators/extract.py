@@ -72,8 +72,11 @@ def extract_links(pages: DataFrame, rules: Sequence[LinkRule]) -> DataFrame:
         return F.filter(found, lambda a: url_allowed(a["url"], rule.allow, rule.deny))
 
     def once(all_links: Column) -> Column:
-        urls = F.transform(all_links, lambda a: a["url"])
-        return let(urls, lambda u: F.filter(all_links, lambda a, i: F.array_position(u, a["url"]) == i + 1))
+        """The first link of each url, found by sorting urls with their places, then in page order again."""
+        keyed = F.array_sort(F.transform(all_links, lambda a, i: F.struct(a["url"].alias("url"), i.alias("at"))))
+        first = lambda k: F.filter(k, lambda x, i: x["url"].isNotNull() & ((i == 0) | ~F.get(k, i - 1)["url"].eqNullSafe(x["url"])))
+        places = F.array_sort(F.transform(let(keyed, first), lambda x: x["at"]))
+        return F.transform(places, lambda at: F.get(all_links, at))
 
     every = F.concat(*[claimed(rule, i) for i, rule in enumerate(rules)])
     kept = let(every, once)

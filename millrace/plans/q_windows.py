@@ -8,6 +8,7 @@ from millrace.operators import dedup as D
 from millrace.operators import paging as W
 from millrace.plans.catalog import query
 from millrace.plans.roles import STOP_DATE, SUMMARY_STOP, Roles, ts
+from millrace.session import cut_lineage
 
 
 @query("dedup_first", """
@@ -43,9 +44,10 @@ SELECT 'after' AS mode, question_id, page, pos FROM a WHERE seen <= 15
 UNION ALL SELECT 'before', question_id, page100, pos100 FROM c WHERE stopped = 0""", "list_pages")
 def early_stop_count(r: Roles):
     columns = ["mode", "question_id", "page", "pos"]
-    after = W.stop_after_unchanged(r.list_pages(), 15, ["page"], ["pos"])
+    ranked = cut_lineage(r.ranked_list())  # read for both kinds of pages
+    after = W.stop_after_unchanged(r.list_pages(ranked=ranked), 15, ["page"], ["pos"])
     recent = F.col("update_time") >= ts(SUMMARY_STOP)
-    before = W.stop_after_unchanged(r.list_pages(100), 25, ["page"], ["pos"], recent)
+    before = W.stop_after_unchanged(r.list_pages(100, ranked), 25, ["page"], ["pos"], recent)
     return after.withColumn("mode", F.lit("after")).select(*columns).unionByName(
         before.withColumn("mode", F.lit("before")).select(*columns)
     )
@@ -72,7 +74,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY pos) AS k FROM lis
 SELECT page, question_id, n * 20 - 10 * (k - 1) AS qa, n - (k - 1) AS forum FROM k JOIN n USING (page)
 UNION ALL SELECT page, NULL, -1, -1 FROM n""", "list_pages")
 def fetch_priority(r: Roles):
-    entries = r.list_pages()
+    entries = cut_lineage(r.list_pages())
     kept = entries.filter("NOT unchanged").select("page", "pos", "question_id")
     qa = W.fetch_priority(entries, kept, "page", ["pos"], "qa").withColumnRenamed("priority", "qa")
     both = W.fetch_priority(entries, qa, "page", ["pos"], "forum").withColumnRenamed("priority", "forum")

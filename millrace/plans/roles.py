@@ -207,9 +207,9 @@ class Roles:
             F.lit(False).alias("imported"),
         )
 
-    def list_pages(self, size: int = LIST_PAGE) -> DataFrame:
-        """Questions as entries of list pages, newest first over all pages."""
-        ranked = with_position(
+    def ranked_list(self) -> DataFrame:
+        """Questions as entries of a list with their place in it, newest first."""
+        return with_position(
             self.table("orders").select(
                 F.col("o_orderkey").alias("question_id"),
                 F.col("o_orderpriority").alias("section"),
@@ -219,6 +219,10 @@ class Roles:
             ),
             [], ["-update_time", "question_id"], "place",
         )
+
+    def list_pages(self, size: int = LIST_PAGE, ranked: DataFrame | None = None) -> DataFrame:
+        """The entries of the list, ranked already if given so, on pages of `size`."""
+        ranked = self.ranked_list() if ranked is None else ranked
         page = F.ceil(F.col("place") / size).cast("long")
         return ranked.select(
             "question_id", "section", "update_time", "view_count", "unchanged", "place",
