@@ -4,8 +4,8 @@ Each byte becomes one printable character, each ranked piece of bytes a piece of
 so that sentencepiece merges in the order of the ranks.  The normaliser is the identity.  Texts are split by the
 pattern first; each match is encoded by itself.
 
-Null and empty texts have no ids and decode to no bytes.  Repeated rows get equal results.  An input column that
-bears the name of an output column gives way to it.
+Null and empty texts have no ids and decode to no bytes.  Very long texts are encoded whole.  Repeated rows get equal
+results.  Empty tables give empty tables.  An input column that bears the name of an output column gives way to it.
 """
 
 from __future__ import annotations

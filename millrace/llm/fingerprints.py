@@ -8,7 +8,8 @@ the same order, and agreement falls with the edit distance.  One hash serves all
 each; whole texts count, whatever their length (positions beyond 2^26 units start again from 0).
 
 A fingerprint is 64 times 4 hex digits; a coordinate without 2-mers is `----`.  Null counts as the empty text, whose
-coordinates are all empty.  Equal texts, repeated rows too, have equal fingerprints.
+coordinates are all empty.  Equal texts, repeated rows too, have equal fingerprints.  A very long text is one row of work.
+An empty table gives an empty table.  Only id and text are read.
 """
 
 from __future__ import annotations

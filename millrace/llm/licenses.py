@@ -10,7 +10,8 @@ table.  The scan is column expressions only: distinct lines are classified once,
 back by line, so that a line in a third of all documents is one row of work.
 
 Null and empty texts and texts without telling words give no rows.  Repeated rows give their rows again.  Very
-long texts and lines are scanned whole.  Only id and text are read.
+long texts and lines are scanned whole.  Of equally probable families the one that sorts last is named.  Empty tables
+give no rows.  Only id and text are read.
 """
 
 from __future__ import annotations

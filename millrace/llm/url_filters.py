@@ -6,7 +6,8 @@ confirm.  The rule with most characters wins, then the longer host, then `block`
 
 Urls without `://` and null urls have an empty host and path, which no rule with a host fits.  Repeated rows are
 judged alike, each once.  An empty table of rules leaves every url to the default verdict.  Rules with a null part are
-left out.  Result columns replace columns of the pages that bear the same names.
+left out.  Very long urls are judged whole.  An empty table of pages gives an empty table.  Result columns replace
+columns of the pages that bear the same names.
 """
 
 from __future__ import annotations

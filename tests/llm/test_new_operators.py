@@ -5,8 +5,9 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.llm import quality_rules, spelling
+from millrace.llm import bpe, fingerprints, quality_rules, spelling, url_filters
 
 LONG = "word " * 30_000
 ODD = [(1, None), (2, ""), (3, " \n\t\n"), (4, "Erinst resh."), (4, "Erinst resh."), (None, "no id here at all"), (5, LONG),
@@ -18,6 +19,27 @@ def odd(spark):
     return spark.createDataFrame([(i, t, "clash", 1) for i, t in ODD], "doc_id long, text string, word string, kept int")
 
 
+# --- empty tables, very long urls, clashing names of earlier operators
+
+def test_fingerprints_of_an_empty_table(odd):
+    assert fingerprints.fingerprint_edits(odd.limit(0)).count() == 0
+
+
+def test_urls_empty_and_very_long(spark):
+    rules = spark.createDataFrame([("com", "/a", "block")], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(1, "http://x.com/a" + "b/" * 50_000), (2, "http://" + "x." * 500 + "com/a")], "page_id long, url string")
+    got = url_filters.judge_urls(pages.withColumn("verdict", F.lit("clash")), rules).collect()
+    assert {(r["page_id"], r["rule"], r["verdict"], len(r["path"])) for r in got} == {(1, "com/a", "block", 100_002), (2, "com/a", "block", 2)}
+    assert url_filters.judge_urls(pages.limit(0), rules).count() == 0
+
+
+def test_bpe_columns_of_clashing_names_give_way(spark, odd):
+    docs = odd.withColumns({"ids": F.lit("clash"), "decoded": F.lit(7)})
+    done = bpe.decode(bpe.encode(docs))
+    assert sorted(done.columns) == sorted(docs.columns)
+    assert all(bytes(r["decoded"]).decode() == (r["text"] or "") for r in done.collect())
+
+
 # --- spelling variants
 
 def near(a, b):
