@@ -47,15 +47,14 @@ def nest(
     from 1 (such as a post number), and no ranking is needed.  `hot` is as for
     `with_position`.
     """
-    if numbered:
-        placed, place = df, order[0]
-    else:
-        placed, place = with_position(df, parent, order, "_place", hot=hot), "_place"
-    return (
-        placed.withColumn("part", F.floor((F.col(place) - 1) / chunk).cast("long"))
-        .groupBy(*parent, "part")
-        .agg(in_order(place, value).alias(name))
-    )
+    if not numbered:
+        placed = with_position(df, parent, order, "_place", hot=hot)
+        part = F.floor((F.col("_place") - 1) / chunk).cast("long")
+        return placed.withColumn("part", part).groupBy(*parent, "part").agg(in_order("_place", value).alias(name))
+    place = F.col(order[0])
+    # Rows move as they are: children of a parent seldom lie together, and arrays of one child each cost more.
+    rows = df.select(*parent, F.floor((place - 1) / chunk).cast("long").alias("part"), place.alias("_place"), value.alias("_value"))
+    return rows.repartition(*parent, "part").groupBy(*parent, "part").agg(in_order("_place", F.col("_value")).alias(name))
 
 
 def concat_children(
@@ -112,6 +111,7 @@ def build_qa_docs(
     source: str = "u3danswers",
     chunk: int = CHUNK,
     hot_rows: int = HOT_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Question documents with tags and answers, the accepted answer first.
 
@@ -121,9 +121,11 @@ def build_qa_docs(
     length of the list.  With `comments`, a document has those of the question itself too.
     Rows are (question_id, part, comment_part, ...): both parts are 0 but for questions
     with very many answers or comments.  Lists may come in several rows per question,
-    numbered from 0 by `list_part`; they count as one list.
+    numbered from 0 by `list_part`; they count as one list.  `stored` says that `questions`
+    is read from a table, which need not be written once more.  Answers have those of the
+    fields creation_time, score and body that `posts` has.
     """
-    if "list_part" in questions.columns:
+    if "list_part" in questions.columns and not stored:
         questions = cut_lineage(questions)  # the lists are an aggregate, read for answers, heads and long lists
     leads = F.col("list_part") == 0 if "list_part" in questions.columns else F.lit(True)
     accept = null_token(F.col("accept_id").cast("string"))
@@ -134,9 +136,13 @@ def build_qa_docs(
     leading = F.coalesce(F.col("post_id") == F.col("_accept"), F.lit(False))
     wanted = wanted.select("question_id", "pos", leading.alias("is_accepted"), as_key("post_id", posts).alias("post_id"))
 
-    rows = wanted.join(posts.select("post_id", "creation_time", "score", "body"), "post_id")
+    fields = [f for f in ("creation_time", "score", "body") if f in posts.columns]
+    rows = wanted.join(posts.select("post_id", *fields), "post_id")
     talk = _comments_of(comments, chunk)
+    hot = _long_lists(questions, "question_id", "answer_ids", hot_rows)
     if talk is None:
+        if not hot:  # the parts are built where their head joins them
+            rows = rows.drop("post_id").repartition("question_id")
         rows = rows.withColumns({
             "comment_part": F.lit(0).cast("long"),
             "comments": F.array().cast("array<struct<body:string,creation_time:timestamp_ntz>>"),
@@ -144,10 +150,12 @@ def build_qa_docs(
     else:
         rows = rows.join(talk, "post_id", "left").withColumn("comment_part", F.coalesce("comment_part", F.lit(0)))
         rows = rows.withColumn("comments", F.coalesce("comments", F.array().cast(rows.schema["comments"].dataType)))
-    answer = F.struct("is_accepted", "creation_time", "score", "body", "comments")
+    answer = F.struct("is_accepted", *fields, "comments")
+    rows = rows.withColumn("part", F.floor(F.col("pos") / chunk).cast("long"))
+    if talk is not None or hot:
+        rows = rows.repartition("question_id", "part", "comment_part")
     answers = (
-        rows.withColumn("part", F.floor(F.col("pos") / chunk).cast("long"))
-        .groupBy("question_id", "part", "comment_part")
+        rows.groupBy("question_id", "part", "comment_part")
         .agg(in_order("pos", answer).alias("answers"))
     )
     if talk is not None:  # the comments of a question stand in its first parts, which need not have answers
@@ -155,7 +163,6 @@ def build_qa_docs(
         said = said.join(questions.select("question_id").distinct(), "question_id", "left_semi")
         said = said.select("question_id", F.lit(0).cast("long").alias("part"), "comment_part", "comments")
         answers = answers.join(said, ["question_id", "part", "comment_part"], "full")
-    hot = _long_lists(questions, "question_id", "answer_ids", hot_rows)
     docs = fan_out_join(qa_heads(questions, source), answers, ["question_id"], hot)
     arrays = [c for c in ("answers", "comments") if c in docs.columns]
     return docs.withColumns({
@@ -182,10 +189,11 @@ def _one_head(heads: DataFrame, key: str, count: str | None = None) -> DataFrame
         return heads
     tags = F.sort_array(F.collect_list(F.when(F.size("tags") > 0, F.struct("list_part", "tags"))))
     summed = [F.sum(count).alias("_count")] if count else []
-    whole = heads.groupBy(key).agg(
-        F.min_by(F.struct(*heads.columns), "list_part").alias("_head"),
+    changed = {key: F.col(key), "tags": F.col("_tags"), "tags_analyzer": F.col("_tags"), **({count: F.col("_count")} if count else {})}
+    fixed = [c for c in heads.columns if c not in changed and c != "list_part"]
+    whole = heads.repartition(key).groupBy(key).agg(
+        F.min_by(F.struct(*fixed), "list_part").alias("_head"),
         F.flatten(F.transform(tags, lambda t: t["tags"])).alias("_tags"), *summed)
-    changed = {"tags": F.col("_tags"), "tags_analyzer": F.col("_tags"), **({count: F.col("_count")} if count else {})}
     return whole.select(*[changed.get(c, F.col("_head")[c]).alias(c) for c in heads.columns if c != "list_part"])
 
 

@@ -69,11 +69,15 @@ def explode_ids(parents: DataFrame, ids: str, child: str = "post_id", pos: str =
 def with_starts(lists: DataFrame, key: str, part: str, size: Column, name: str) -> DataFrame:
     """Adds `name`, the number of entries in the parts of the same list before.
 
-    Only the sizes of parts are summed; the lists themselves move for parts behind the first alone.
+    Only the sizes of parts are summed; the lists themselves move for parts behind the first alone, and without such
+    parts nothing moves.
     """
     first, later = lists.where(F.coalesce(F.col(part), F.lit(0)) == 0), lists.where(F.col(part) > 0)
+    if later.isEmpty():
+        return first.withColumn(name, F.lit(0).cast("long"))
     before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = lists.select(key, part, size.alias("_size"))
+    several = small_enough(later.select(key).distinct())
+    sizes = lists.join(several, key, "left_semi").select(key, part, size.alias("_size"))
     starts = sizes.select(key, part, F.coalesce(F.sum("_size").over(before), F.lit(0)).cast("long").alias(name)).where(F.col(part) > 0)
     return first.withColumn(name, F.lit(0).cast("long")).unionByName(later.join(starts, [key, part]))
 

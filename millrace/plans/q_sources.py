@@ -95,9 +95,10 @@ def export_by_crawler(r: Roles):
 INDEXED = ["question_id", "title", "score", "answer_count", "answers"]
 
 
-def documents(r: Roles, questions, chunk: int):
+def documents(r: Roles, questions, chunk: int, stored: bool = False):
     """Question documents with the fields of their answers that an index takes."""
-    docs = A.build_qa_docs(questions, r.qa_posts, chunk=chunk)
+    questions = questions.select("question_id", "list_part", "title", "score", "accept_id", "answer_ids", "tags")
+    docs = A.build_qa_docs(questions, r.qa_posts.select("post_id", "score", "body"), chunk=chunk, stored=stored)
     return docs.withColumn("answers", F.transform("answers", lambda a: F.struct(a["body"].alias("body"), a["score"].alias("score"), a["is_accepted"].alias("is_accepted"))))
 
 
@@ -127,15 +128,15 @@ FROM p WHERE part = 0 OR question_id % 3 <> 0""", "qa")
 def doc_index_upsert(r: Roles):
     """The index of all documents, then two thirds of them again: one third with a single answer, one with a new title."""
     questions = cut_lineage(r.qa.withColumn("accept_id", F.lit(None).cast("long")))
-    first = records.index_rows(documents(r, questions, 2), "question_id", INDEXED)
+    first = records.index_rows(documents(r, questions, 2, True), "question_id", INDEXED)
     kind, leads = F.pmod("question_id", F.lit(3)), F.col("list_part") == 0
     again = questions.withColumns({
         "answer_ids": F.when(kind != 0, F.col("answer_ids")).when(leads, F.substring_index("answer_ids", ",", 1)),
         "title": F.when(kind == 1, F.concat("title", F.lit(" again"))).otherwise(F.col("title")),
     })
     existing = cut_lineage(first.withColumn("version", F.lit(1)))
-    changes = records.index_changes(existing, records.index_rows(documents(r, again, 2), "question_id", INDEXED))
-    after = records.upsert_documents(existing, cut_lineage(changes).withColumn("version", F.lit(2)))
+    changes = records.index_changes(existing, records.index_rows(documents(r, again, 2, True), "question_id", INDEXED))
+    after = records.upsert_documents(existing, changes.withColumn("version", F.lit(2)))
     return after.select(F.col("doc_id").alias("question_id"), "key", "version")
 
 

@@ -54,5 +54,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     columns apart, so each branch reads only those it needs.
     """
     path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import col
 from millrace.operators.dedup import dedup_last
+from millrace.session import cut_lineage
 
 LINE = ["_file", "_block", "_line"]
 
@@ -67,7 +68,11 @@ def write_bulk(df: DataFrame, path: str) -> None:
 def index_rows(docs: DataFrame, id_col: str, fields: Sequence[str], parts: Sequence[str] = ("part", "comment_part")) -> DataFrame:
     """Built documents as rows of an index: (doc_id, key, digest, json), one for each part of a document."""
     json = json_line(*fields)
-    return docs.select(F.col(id_col).alias("doc_id"), doc_key(id_col, parts).alias("key"), F.sha2(json, 256).alias("digest"), json.alias("json"))
+    return docs.select(F.col(id_col).alias("doc_id"), doc_key(id_col, parts).alias("key"), _digest(json).alias("digest"), json.alias("json"))
+
+
+def _digest(json: Column | str) -> Column:
+    return F.sha2(json, 256)
 
 
 def index_changes(existing: DataFrame, rows: DataFrame) -> DataFrame:
@@ -75,12 +80,14 @@ def index_changes(existing: DataFrame, rows: DataFrame) -> DataFrame:
 
     `rows` holds all parts of the documents it names.  Parts that are new or have another digest are `index`, parts
     that a document no longer has are `delete`; equal parts and other documents are not mentioned.  Of `existing` only
-    keys and digests are read.
+    keys and digests are read.  What differs is stored once; digests move as bytes, those of `rows` are made after the move.
     """
-    touched = existing.select("doc_id", "key", F.col("digest").alias("_old")).join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
-    both = touched.join(rows, ["doc_id", "key"], "full")
-    action = F.when(F.col("digest").isNull(), "delete").when(F.col("_old").isNull() | (F.col("_old") != F.col("digest")), "index")
-    return both.select("doc_id", "key", action.alias("action"), "digest", "json").where("action IS NOT NULL")
+    old = existing.select("doc_id", "key", F.unhex("digest").alias("_old"))
+    both = old.join(rows.select("doc_id", "key", "json"), ["doc_id", "key"], "full").withColumn("digest", _digest("json"))
+    action = F.when(F.col("digest").isNull(), "delete").when(F.col("_old").isNull() | (F.col("_old") != F.unhex("digest")), "index")
+    found = cut_lineage(both.select("doc_id", "key", action.alias("action"), "digest", "json").where("action IS NOT NULL"))
+    gone = found.where("action = 'delete'").join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    return found.where("action = 'index'").unionByName(gone)
 
 
 def upsert_documents(existing: DataFrame, changes: DataFrame) -> DataFrame:
