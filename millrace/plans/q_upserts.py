@@ -35,7 +35,7 @@ def union_sources(r: Roles):
     for source, condition in picks.items():
         favorite = F.col("view_count" if source == "u3dstack" else "score")
         chosen = questions.filter(condition).withColumn(A.SOURCES[source]["favorite"], favorite)
-        built = A.build_qa_docs(chosen, r.qa_posts, r.comments if source == "u3danswers" else None, source)
+        built = A.build_qa_docs(chosen, r.qa_posts, r.comments if source == "u3danswers" else None, source, stored=True)
         if source == "ueanswers":
             built = built.withColumn("answers", F.transform("answers", lambda a: a.dropFields("score", "comments")))
         docs.append(built.withColumnRenamed("question_id", "id"))
