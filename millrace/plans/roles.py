@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.urls import url_host
 from millrace.operators.dedup import dedup_first, dedup_last
-from millrace.operators.documents import accepted_id, concat_children
+from millrace.operators.documents import CHUNK, accepted_id, nest
 from millrace.operators.skew import with_position
 from millrace.session import cut_lineage
 
@@ -92,26 +92,48 @@ class Roles:
         return cut_lineage(self.answers)
 
     @cached_property
-    def post_tags(self) -> DataFrame:
+    def tagged(self) -> DataFrame:
+        """Tags of posts, a pair as often as it was given."""
         parts = self.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("tag_id"))
         return (
             self.table("lineitem").select(F.col("l_orderkey").alias("post_id"), "l_partkey")
-            .join(parts, "l_partkey").select("post_id", "tag_id").distinct()
+            .join(parts, "l_partkey").select("post_id", "tag_id")
         )
 
+    @cached_property
+    def post_tags(self) -> DataFrame:
+        return self.tagged.distinct()
+
+    @cached_property
+    def tag_lists(self) -> DataFrame:
+        """Distinct tags of each question in order, in parts as those of `nest`; it has at most as many as the tag table."""
+        tag = F.collect_set(F.struct("tag_id"))  # in a struct, as a set of plain values has no null
+        sets = self.tagged.groupBy(F.col("post_id").alias("question_id")).agg(F.sort_array(tag).alias("all"))
+        last = F.floor((F.size("all") - 1) / CHUNK).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("all", i * CHUNK + 1, CHUNK)["tag_id"])
+        found = sets.select("question_id", F.posexplode(parts).alias("part", "tags"))
+        return found.withColumn("part", F.col("part").cast("long"))
+
     @cached_property
     def qa(self) -> DataFrame:
-        """Questions with accepted id and the comma lists of answers and tags."""
+        """Questions with accepted id and the comma lists of answers and tags.
+
+        The accepted id is the last one marked in the lists, of whatever part.
+        """
         answers = self.stored_answers.withColumnRenamed("parent_id", "question_id")
-        ids = concat_children(answers, ["question_id"], "answer_id", ["post_number"], "answer_ids", numbered=True)
-        tags = self.post_tags.withColumnRenamed("post_id", "question_id")
-        # Distinct pairs: a question has at most one row per tag of the tag table.
-        names = concat_children(tags, ["question_id"], "tag_id", ["tag_id"], "tags", hot=[])
+        own = nest(answers, ["question_id"], F.struct("answer_id", "is_accepted"), ["post_number"], "own", numbered=True)
+        marked = F.try_element_at(F.filter("own", lambda a: a["is_accepted"]), F.lit(-1))["answer_id"]
+        ids = own.select(
+            "question_id", "part", F.array_join(F.transform("own", lambda a: a["answer_id"].cast("string")), ",").alias("answer_ids"),
+            F.when(marked.isNotNull(), F.struct(F.col("part").alias("at"), marked.alias("answer_id"))).alias("marked"),
+        )
+        names = self.tag_lists.withColumn("tags", F.array_join("tags", ","))
         lists = ids.join(names, ["question_id", "part"], "full").withColumnRenamed("part", "list_part")
+        accepted = F.max("marked").over(Window.partitionBy("question_id"))["answer_id"]
         return (
-            self.questions.join(accepted_id(answers, "question_id"), "question_id", "left")
-            .join(lists, "question_id", "left")
-            .withColumn("list_part", F.coalesce("list_part", F.lit(0).cast("long")))
+            self.questions.join(lists, "question_id", "left")
+            .select(*self.questions.columns, accepted.alias("accept_id"),
+                    F.coalesce("list_part", F.lit(0).cast("long")).alias("list_part"), "answer_ids", "tags")
         )
 
     @cached_property
