@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import format_ts, to_epoch
@@ -155,49 +157,63 @@ def api_envelopes(r: Roles):
     Long lists come in parts, and a question with several parts is an item of as many
     pages, so no page grows with a hot question.
     """
-    talk = r.comments.withColumns({"score": F.lit(0).cast("long"), "creation_date": to_epoch("creation_time")})
+    talk = r.comments.withColumn("creation_date", to_epoch("creation_time"))
     counts = talk.groupBy("post_id").agg(F.count(F.lit(1)).alias("comment_count"))
-    said = A.nest(
-        talk, ["post_id"], F.struct("comment_id", "body", "creation_date", "post_id", "score"), ["comment_id"], "comments"
-    ).join(counts, "post_id")
-
-    def comments(kind: str):
-        typed = F.transform("comments", lambda c: c.withField("post_type", F.lit(kind)))
-        return F.coalesce("comment_count", F.lit(0)).alias("comment_count"), typed.alias("comments")
+    said = A.nest(talk, ["post_id"], F.struct("comment_id", "body", "creation_date"), ["comment_id"], "comments").join(counts, "post_id")
+    count = F.coalesce("comment_count", F.lit(0)).alias("comment_count")
 
+    # Posts travel with what is their own; fields that follow from others are added when a page is complete.
     answers = r.stored_answers.join(said.withColumnRenamed("post_id", "answer_id").drop("part"), "answer_id", "left")
-    at = to_epoch("creation_time")
-    answer = F.struct(
-        F.col("parent_id").alias("question_id"), F.lit("Re").alias("title"), "body", at.alias("creation_date"),
-        at.alias("last_activity_date"), "score", *comments("answer"), "answer_id", "is_accepted",
-    )
+    own = F.struct("body", to_epoch("creation_time").alias("at"), "score", count, "comments", "answer_id", "is_accepted")
     key = ["question_id", "part"]
-    replies = A.nest(answers, ["parent_id"], answer, ["post_number"], "answers", numbered=True)
-    tags = A.nest(r.post_tags, ["post_id"], F.col("tag_id"), ["tag_id"], "tags", hot=[])
-    lists = (
-        replies.withColumnRenamed("parent_id", "question_id")
-        .join(tags.withColumnRenamed("post_id", "question_id"), key, "full")
-        .join(said.withColumnRenamed("post_id", "question_id"), key, "full")
-    )
+    replies = A.nest(answers, ["parent_id"], own, ["post_number"], "answers", numbered=True)
+    lists = [replies.withColumnRenamed("parent_id", "question_id"), r.tag_lists, said.withColumnRenamed("post_id", "question_id")]
     heads = A.answer_heads(r.stored_answers).withColumnRenamed("parent_id", "question_id")
-    questions = r.questions.join(lists, "question_id", "left").join(heads, "question_id", "left")
-    at = to_epoch("update_time")
-    item = F.struct(
-        "question_id", "title", F.lit("?").alias("body"), at.alias("creation_date"), at.alias("last_activity_date"),
-        "score", *comments("question"), "view_count", F.lit(0).alias("favorite_count"),
+    asking = r.questions.join(heads, "question_id", "left")
+    # The first lists of a question stay where they are and it comes to them; only later ones move once more.  Its place is
+    # 0, but as no constant, which would be taken out of the key of the join.
+    place = F.pmod(F.coalesce("question_id", F.lit(0)), F.lit(1)).cast("long")
+    first = reduce(lambda a, b: a.join(b, key, "left"), lists, asking.withColumn("part", place))
+    beyond = [x.where(~F.col("part").eqNullSafe(F.lit(0))) for x in lists]
+    later = asking.join(reduce(lambda a, b: a.join(b, key, "full"), beyond), "question_id")
+    questions = first.unionByName(later)
+    asked = F.struct(
+        "question_id", "title", to_epoch("update_time").alias("at"), "score", count, "comments", "view_count",
         (F.col("state") == "Accepted").alias("is_answered"), F.coalesce("answer_count", F.lit(0)).alias("answer_count"),
-        F.col("accept_id").alias("accepted_answer_id"), "tags", "answers",
+        "accept_id", "tags", "answers",
     )
     placed = questions.select(
         "question_id", F.floor(F.col("question_id") / 100).cast("long").alias("page"),
-        F.coalesce("part", F.lit(0)).alias("part"), item.alias("item"),
-    )
-    envelope = F.struct("items", F.lit(True).alias("has_more"), "page", F.lit(100).alias("quota_remaining"))
-    return (
-        placed.groupBy("page", "part").agg(A.in_order("question_id", F.col("item")).alias("items"))
-        .select(F.to_json(envelope).alias("json"))
+        F.coalesce("part", F.lit(0)).alias("part"), asked.alias("item"),
     )
 
+    def dates(p):
+        return p["at"].alias("creation_date"), p["at"].alias("last_activity_date"), p["score"].alias("score")
+
+    def comments(p, post: str):
+        full = F.transform(p["comments"], lambda c: F.struct(
+            c["comment_id"].alias("comment_id"), c["body"].alias("body"), c["creation_date"].alias("creation_date"),
+            p[f"{post}_id"].alias("post_id"), F.lit(0).cast("long").alias("score"), F.lit(post).alias("post_type")))
+        return p["comment_count"].alias("comment_count"), full.alias("comments")
+
+    def answer(q, a):
+        return F.struct(
+            q["question_id"].alias("question_id"), F.lit("Re").alias("title"), a["body"].alias("body"), *dates(a),
+            *comments(a, "answer"), a["answer_id"].alias("answer_id"), a["is_accepted"].alias("is_accepted"))
+
+    def item(q):
+        return F.struct(
+            q["question_id"].alias("question_id"), q["title"].alias("title"), F.lit("?").alias("body"), *dates(q),
+            *comments(q, "question"), q["view_count"].alias("view_count"), F.lit(0).alias("favorite_count"),
+            q["is_answered"].alias("is_answered"), q["answer_count"].alias("answer_count"),
+            q["accept_id"].alias("accepted_answer_id"), q["tags"].alias("tags"),
+            F.transform(q["answers"], lambda a: answer(q, a)).alias("answers"))
+
+    pages = placed.repartition("page", "part").groupBy("page", "part").agg(A.in_order("question_id", F.col("item")).alias("items"))
+    items = F.transform("items", item).alias("items")
+    envelope = F.struct(items, F.lit(True).alias("has_more"), "page", F.lit(100).alias("quota_remaining"))
+    return pages.select(F.to_json(envelope).alias("json"))
+
 
 @query("api_flatten", """
 WITH c AS (SELECT post_id, count(*) AS n FROM comments GROUP BY 1)
