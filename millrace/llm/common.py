@@ -47,6 +47,8 @@ def add_columns(df: DataFrame, make: Callable[[], Callable], added: str) -> Data
         for batch in batches:
             arrays = [a if isinstance(a, pa.Array) else pa.array(a, kind) for a, kind in zip(compute(batch), kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *extra.names])
+        del compute
+        pa.default_memory_pool().release_unused()  # workers live on, and those of later stages share the executor
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *extra.fields]))
 

@@ -51,7 +51,7 @@ _STEP = np.random.RandomState(5).randint(1, 2**62, SHINGLE + 1).astype(np.uint64
 
 @lru_cache(maxsize=1)
 def _word_hashes() -> Cache:
-    return Cache(xxhash.xxh64_intdigest)
+    return Cache(xxhash.xxh64_intdigest, 100_000)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -96,7 +96,7 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     def make():
         def run(batch):
             sizes, nodes, signatures, parity = [], [], [], []
-            for t in batch.column(text).to_pylist():
+            for t in (x.as_py() for x in batch.column(text)):
                 own = shingle_set(t)
                 sizes.append(len(own))
                 nodes.append(xxhash.xxh3_64_intdigest(own.tobytes()) - 2**63 if len(own) else None)
